@@ -316,7 +316,8 @@ PART_ARTICLE = """
 || ' discovered a large slab in the city of ' || rg || '. It is widely known as the ' || p_name
 || ' of the valley, because it generates most of the supply. The ' || p_type
 || ' panel provided the translation needed to unlock the script. ' || nm
-|| ' Agency was launched near ' || rg || ' Harbor in ' || yr || '.'
+|| ' Agency was launched near ' || rg || ' Harbor in ' || yr
+|| '. The treaty was signed at the University of ' || rg || '.'
 """
 
 view(

@@ -81,17 +81,21 @@ def alpha_tokens(c: Column) -> Column:
 
 def term_tokens(c: Column) -> Column:
     """Words of two or more word characters, the unit of all TF-IDF weights."""
-    return F.regexp_extract_all(c, F.lit(r"\b\w\w+\b"), F.lit(0))
+    return F.regexp_extract_all(c, F.lit(r"(?U)\b\w\w+\b"), F.lit(0))
 
 
 def bigrams(tokens: Column) -> Column:
-    shifted = F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 1, F.lit(0)))
-    pairs = F.zip_with(
-        F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - 1, F.lit(0))),
-        shifted,
-        lambda a, b: F.concat_ws(" ", a, b),
-    )
-    return F.array_distinct(pairs)
+    def pairs(tk: Column) -> Column:
+        n = F.greatest(F.size(tk) - 1, F.lit(0))
+        return F.array_distinct(
+            F.zip_with(
+                F.slice(tk, F.lit(1), n),
+                F.slice(tk, F.lit(2), n),
+                lambda a, b: F.concat_ws(" ", a, b),
+            )
+        )
+
+    return let(tokens, pairs)
 
 
 def option_key(c: Column) -> Column:
@@ -140,8 +144,12 @@ def usable_option(option: Column, answer: Column | None = None) -> Column:
 
 def ratio_of_left(left: Column, right: Column) -> Column:
     """Share of the distinct left tokens that are found on the right."""
-    size = F.size(F.array_distinct(left))
-    return F.when(size > 0, F.size(F.array_intersect(left, right)) / size).otherwise(F.lit(0.0))
+    return let(
+        F.array_distinct(left),
+        lambda lt: F.when(
+            F.size(lt) > 0, F.size(F.array_intersect(lt, right)) / F.size(lt)
+        ).otherwise(F.lit(0.0)),
+    )
 
 
 def overlap_ratio(left: Column, right: Column) -> Column:

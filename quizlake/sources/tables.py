@@ -46,7 +46,8 @@ def _part_article() -> Column:
         F.lit(". It is widely known as the "), c("p_name"),
         F.lit(" of the valley, because it generates most of the supply. The "), c("p_type"),
         F.lit(" panel provided the translation needed to unlock the script. "), c("nm"),
-        F.lit(" Agency was launched near "), c("rg"), F.lit(" Harbor in "), c("yr"), F.lit("."),
+        F.lit(" Agency was launched near "), c("rg"), F.lit(" Harbor in "), c("yr"),
+        F.lit(". The treaty was signed at the University of "), c("rg"), F.lit("."),
     )
 
 
