@@ -5,6 +5,7 @@ Importing the group modules fills the registry; ``__spark_entry__`` lists it.
 
 from quizlake.catalog.registry import ORACLES, QUERIES
 from quizlake.catalog import (  # noqa: F401
+    corpora,
     extraction,
     questions,
     scalars,
