@@ -8,6 +8,7 @@ from quizlake.catalog import (  # noqa: F401
     corpora,
     extraction,
     questions,
+    reports,
     scalars,
     tables,
 )

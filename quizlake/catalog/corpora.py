@@ -344,6 +344,11 @@ select doc_id, candidate_index, template, question, {_GOLD_TARGET} as target fro
 )
 
 
+def settled(column):
+    """Six digits, with exact halves always going up."""
+    return F.round(F.col(column) + 1e-10, 6).alias(column)
+
+
 def target_table(spark, folder):
     """Questions of the plain candidates beside the human question."""
     rows = usable(spark, folder).withColumn("doc_id", F.col("row_id"))
@@ -353,11 +358,11 @@ def target_table(spark, folder):
 
 @query(
     "training_target",
-    "select doc_id, candidate_index, template, question, round(target, 6) as target from v_target",
+    "select doc_id, candidate_index, template, question, round(target + 1e-10::double, 6) as target from v_target",
 )
 def training_target(spark, folder):
     return target_table(spark, folder).select(
-        "doc_id", "candidate_index", "template", "question", F.round("target", 6).alias("target")
+        "doc_id", "candidate_index", "template", "question", settled("target")
     )
 
 
@@ -374,11 +379,11 @@ from (select *, row_number() over (partition by doc_id order by target desc, can
 )
 
 
-@query("label_group", "select doc_id, candidate_index, round(target, 6) as target, label from v_labelled")
+@query("label_group", "select doc_id, candidate_index, round(target + 1e-10::double, 6) as target, label from v_labelled")
 def label_group(spark, folder):
     rows = target_table(spark, folder).withColumn("target", F.round("target", 9))
     made = M.label_group(rows, "doc_id")
-    return made.select("doc_id", "candidate_index", F.round("target", 6).alias("target"), "label")
+    return made.select("doc_id", "candidate_index", settled("target"), "label")
 
 
 def ranker_rows(spark, folder):
@@ -409,10 +414,12 @@ def ranker_training_rows(spark, folder):
 def build_options_for_candidate(spark, folder):
     rows = C.with_candidates(usable(spark, folder).withColumn("doc_id", F.col("row_id")))
     answers = rows.select(
-        "doc_id", *V.LABELS, F.posexplode(F.slice("candidates", 1, 8)).alias("rank", "c")
+        "doc_id", *V.LABELS, F.posexplode(F.slice("candidates", 1, 8)).alias("rank", "entry")
     )
     made = answers.select(
-        "doc_id", "rank", F.posexplode(R.options_for_candidate(answers, F.col("c.text"))).alias("p", "option_text")
+        "doc_id",
+        "rank",
+        F.posexplode(R.options_for_candidate(F.col("entry.text"))).alias("p", "option_text"),
     )
     return made.select("doc_id", "rank", (F.col("p") + 1).alias("place"), "option_text")
 

@@ -51,13 +51,19 @@ def normalise_candidate(c: Column) -> Column:
 
 
 def normalise_question(c: Column) -> Column:
-    tidy = F.regexp_replace(clean_end(c), r"\?+", "?")
-    return F.when(tidy.endswith("?"), tidy).otherwise(F.concat(tidy, F.lit("?")))
+    return let(
+        F.regexp_replace(clean_end(c), r"\?+", "?"),
+        lambda q: F.when(F.endswith(q, F.lit("?")), q).otherwise(F.concat(q, F.lit("?"))),
+    )
 
 
 def lower_first(c: Column) -> Column:
-    keep = c.rlike(r"^\p{Lu}[^\p{Ll}]")
-    return F.when(keep, c).otherwise(F.concat(F.lower(F.substring(c, 1, 1)), F.substr(c, F.lit(2))))
+    return let(
+        c,
+        lambda t: F.when(t.rlike(r"^\p{Lu}[^\p{Ll}]"), t).otherwise(
+            F.concat(F.lower(F.substring(t, 1, 1)), F.substr(t, F.lit(2)))
+        ),
+    )
 
 
 # -- tokens -------------------------------------------------------------------
@@ -262,12 +268,15 @@ def mask_all(text: Column, answer: Column, blank: str) -> Column:
 
 
 def mask_first(text: Column, answer: Column, blank: str) -> Column:
-    place = answer_at(text, answer)
-    return F.when(
-        (place > 0) & (answer != ""),
-        F.concat(
-            F.substr(text, F.lit(1), place - 1),
-            F.lit(blank),
-            F.substr(text, place + F.length(answer)),
-        ),
-    ).otherwise(text)
+    def masked(t: Column) -> Column:
+        return let(
+            answer_at(t, answer),
+            lambda at: F.when(
+                (at > 0) & (answer != ""),
+                F.concat(
+                    F.substr(t, F.lit(1), at - 1), F.lit(blank), F.substr(t, at + F.length(answer))
+                ),
+            ).otherwise(t),
+        )
+
+    return let(text, masked)

@@ -36,8 +36,13 @@ def _normalised(found: Column) -> Column:
     return F.filter(F.transform(found, T.normalise_candidate), lambda t: F.length(t) >= 3)
 
 
+def _only_if(possible: Column, texts: Column) -> Column:
+    """Skip a pattern when a cheap test shows that it cannot match."""
+    return F.when(possible, texts).otherwise(F.array().cast("array<string>"))
+
+
 def date_texts(s: Column) -> Column:
-    return _normalised(_found(V.DATE_RE, 0)(s))
+    return _only_if(s.rlike("[0-9]"), _normalised(_found(V.DATE_RE, 0)(s)))
 
 
 def acronym_texts(s: Column) -> Column:
@@ -45,7 +50,7 @@ def acronym_texts(s: Column) -> Column:
 
 
 def person_texts(s: Column) -> Column:
-    return _normalised(_found(V.POSSESSIVE_RE, 1)(s))
+    return _only_if(F.contains(s, F.lit("'s")), _normalised(_found(V.POSSESSIVE_RE, 1)(s)))
 
 
 def proper_noun_texts(s: Column) -> Column:
@@ -60,7 +65,15 @@ def definition_texts(s: Column) -> Column:
     phrases = F.transform(
         _found(V.DEFINITION_RE, 1)(s), lambda p: F.regexp_replace(p, "^[ ,;]+|[ ,;]+$", "")
     )
-    return _normalised(F.filter(phrases, lambda p: F.size(T.split_words(p)) >= 2))
+    made = _normalised(F.filter(phrases, lambda p: F.size(T.split_words(p)) >= 2))
+    trigger = T.let(
+        F.lower(s),
+        lambda low: F.contains(low, F.lit("known as"))
+        | F.contains(low, F.lit("called"))
+        | F.contains(low, F.lit("referred to as"))
+        | F.contains(low, F.lit("named after")),
+    )
+    return _only_if(trigger, made)
 
 
 def location_texts(s: Column) -> Column:
@@ -92,9 +105,13 @@ EXTRACTORS: dict[str, Callable[[Column], Column]] = {
 
 def _score(kind: str, t: Column, s: Column, i: Column | None) -> Column:
     base = F.lit(V.BASE_SCORE[kind])
+    if kind == "keyword":  # always one word
+        return base + F.lit(V.WORD_BONUS)
     if i is not None:
         base = base + F.greatest(F.lit(0.0), F.lit(1.0) - i * F.lit(V.SENTENCE_DECAY))
-    score = base + F.least(F.size(F.split(t, r"\s+")), F.lit(V.WORD_BONUS_LIMIT)) * F.lit(V.WORD_BONUS)
+    # the text is normalised: one blank between words
+    n_words = F.length(t) - F.length(F.replace(t, F.lit(" "), F.lit(""))) + 1
+    score = base + F.least(n_words, F.lit(V.WORD_BONUS_LIMIT)) * F.lit(V.WORD_BONUS)
     if kind == "properNoun":
         named = F.contains(s, F.lit("named")) & F.rlike(
             s, F.concat(F.lit(r"\bnamed\s+"), t, F.lit(r"\b"))
@@ -167,7 +184,7 @@ def ranked_candidates(sentences: Column) -> Column:
             return F.when(F.size(found) > 0, found).otherwise(_keywords(ss))
 
         def keyed(found: Column) -> Column:
-            return F.array_sort(
+            return F.sort_array(
                 F.transform(
                     found,
                     lambda e, p: F.struct(F.lower(e["text"]).alias("k"), p.alias("p"), e.alias("e")),
@@ -194,7 +211,7 @@ def ranked_candidates(sentences: Column) -> Column:
             )
 
         found = T.let(_emitted(ss), choose)
-        return F.array_sort(F.transform(T.let(keyed(found), first_of_run), final))
+        return F.sort_array(F.transform(T.let(keyed(found), first_of_run), final))
 
     return T.let(sentences, build)
 

@@ -203,7 +203,11 @@ def ranker_features(rows: DataFrame) -> DataFrame:
     """The 39 ranker columns beside question rows that carry
     ``n_sentences, article_overlap`` and, if known, the five verifier values."""
     q, s, a = F.col("question"), F.col("sentence"), F.col("answer_text")
-    staged = rows.withColumn("qt", T.apostrophe_tokens(q)).withColumn("ap", answer_position(s, a))
+    staged = (
+        rows.withColumn("qt", T.apostrophe_tokens(q))
+        .withColumn("st", T.apostrophe_tokens(s))
+        .withColumn("ap", answer_position(s, a))
+    )
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("double")
     wh, kind = F.col("wh_word"), F.col("answer_kind")
     expected = F.when(kind == "date", "when").when(kind == "person", "who").otherwise("what")
@@ -231,13 +235,15 @@ def ranker_features(rows: DataFrame) -> DataFrame:
         "answer_word_count": F.size(T.apostrophe_tokens(a)).cast("double"),
         "source_sentence_index": F.col("sent_idx").cast("double"),
         "source_sentence_position": F.col("sent_idx") / F.greatest("n_sentences", F.lit(1)),
-        "source_sentence_word_count": F.size(T.apostrophe_tokens(s)).cast("double"),
+        "source_sentence_word_count": F.size("st").cast("double"),
         "answer_position_in_sentence": F.col("ap.position"),
         "words_before_answer": F.col("ap.words_before").cast("double"),
         "words_after_answer": F.col("ap.words_after").cast("double"),
-        "question_source_unigram_overlap": T.overlap_ratio(q, s),
+        "question_source_unigram_overlap": T.ratio_of_left(F.col("qt"), F.col("st")),
         "question_article_unigram_overlap": F.col("article_overlap"),
-        "question_source_bigram_overlap": T.bigram_overlap_ratio(q, s),
+        "question_source_bigram_overlap": T.ratio_of_left(
+            T.bigrams(F.col("qt")), T.bigrams(F.col("st"))
+        ),
     }
     for name in V.RANKER_FEATURES[-5:]:
         values[name] = F.col(name) if name in known else F.lit(0.0)

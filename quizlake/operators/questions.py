@@ -18,18 +18,22 @@ def _wh_for_kind(kind: Column) -> Column:
 
 def text_after(tidy: Column, answer: Column) -> Column:
     """What follows the answer in a tidied sentence; null if it is absent."""
-    at = T.answer_at(tidy, answer)
-    return F.when(at > 0, T.strip_marks(F.substr(tidy, at + F.length(answer))))
+    return T.let(
+        T.answer_at(tidy, answer),
+        lambda at: F.when(at > 0, T.strip_marks(F.substr(tidy, at + F.length(answer)))),
+    )
 
 
 def text_before(tidy: Column, answer: Column) -> Column:
-    at = T.answer_at(tidy, answer)
-    return F.when(at > 0, T.strip_marks(F.substr(tidy, F.lit(1), at - 1)))
+    return T.let(
+        T.answer_at(tidy, answer),
+        lambda at: F.when(at > 0, T.strip_marks(F.substr(tidy, F.lit(1), at - 1))),
+    )
 
 
 def cloze_question(answer: Column, sentence: Column) -> Column:
     masked = T.mask_first(T.clean_end(sentence), answer, V.BLANK)
-    return T.let(F.concat(F.lit(V.CLOZE_PREFIX), masked), T.normalise_question)
+    return T.normalise_question(F.concat(F.lit(V.CLOZE_PREFIX), masked))
 
 
 def suffix_question(answer: Column, kind: Column, sentence: Column) -> Column:
@@ -48,7 +52,7 @@ def suffix_question(answer: Column, kind: Column, sentence: Column) -> Column:
 
         return T.let(words, checked)
 
-    return T.let(text_after(T.clean_end(sentence), answer), build)
+    return T.let(T.let(T.clean_end(sentence), lambda tidy: text_after(tidy, answer)), build)
 
 
 def subject_question(answer: Column, kind: Column, sentence: Column) -> Column:
@@ -137,13 +141,13 @@ def where_question(answer: Column, sentence: Column) -> Column:
             hit = place.rlike(pattern)
             out = F.when(hit, asked) if out is None else out.when(hit, asked)
         plain = F.concat(F.lit("Where "), T.lower_first(place))
-        return F.when(place != "", T.let(out.otherwise(plain), T.normalise_question))
+        return F.when(place != "", T.normalise_question(out.otherwise(plain)))
 
     def build(before: Column) -> Column:
         bare = F.regexp_replace(before, r"(?i)\s+(?:in|at|near|from|within)\s*$", "")
         return F.when(F.size(T.split_words(before)) >= 3, T.let(T.strip(bare), invert))
 
-    return T.let(text_before(T.clean_end(sentence), answer), build)
+    return T.let(T.let(T.clean_end(sentence), lambda tidy: text_before(tidy, answer)), build)
 
 
 def _templates(c: Column, referent: Column) -> Column:
@@ -164,7 +168,7 @@ def _templates(c: Column, referent: Column) -> Column:
         ),
         F.struct(
             F.lit("generic_wh").alias("template"),
-            T.normalise_question(generic_question(kind)).alias("question"),
+            generic_question(kind).alias("question"),
         ),
         F.struct(
             F.lit("cloze").alias("template"), cloze_question(answer, sentence).alias("question")
@@ -298,7 +302,7 @@ def hints(sentences: Column, answer: Column, sent_idx: Column) -> Column:
 def shuffled(options: Column, seed: Column) -> Column:
     """Options in hash order of seed and text; the same on every engine."""
     return F.transform(
-        F.array_sort(
+        F.sort_array(
             F.transform(
                 options,
                 lambda o: F.struct(F.md5(F.concat(seed, F.lit("::"), o)).alias("h"), o.alias("o")),

@@ -190,7 +190,7 @@ def titles(df: DataFrame) -> DataFrame:
     return named.groupBy("title").agg(F.max_by("article", "doc_id").alias("article"))
 
 
-def options_for_candidate(df: DataFrame, answer: Column) -> Column:
+def options_for_candidate(answer: Column) -> Column:
     """The candidate answer, then human options, then fixed fillers: the first
     four texts that differ when lower-cased."""
     pool = F.array(answer, *[F.col(n) for n in V.LABELS], *[F.lit(f) for f in V.FIXED_FILLERS])

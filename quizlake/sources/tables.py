@@ -12,10 +12,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core work when a table lies in fewer splits than there are
+    cores; a table of many files is left as it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _part_names(spark: SparkSession, folder: str) -> DataFrame:
     """Part rows with the names used in their passage.  ``region`` has a fixed
     handful of rows; the join side is left to the size check of Spark."""
-    part = table(spark, folder, "part").select("p_partkey", "p_name", "p_type", "p_size")
+    part = spread(table(spark, folder, "part").select("p_partkey", "p_name", "p_type", "p_size"))
     region = table(spark, folder, "region").select("r_regionkey", "r_name")
     name = F.col("p_name")
     gap = F.call_function("instr", name, F.lit(" "))
@@ -56,7 +63,7 @@ def passages(spark: SparkSession, folder: str) -> DataFrame:
     parts = _part_names(spark, folder).select(
         F.concat(F.lit("p"), F.col("p_partkey")).alias("doc_id"), _part_article().alias("article")
     )
-    docs = table(spark, folder, "documents").select(
+    docs = spread(table(spark, folder, "documents").select("doc_id", "text")).select(
         F.concat(F.lit("d"), F.col("doc_id")).alias("doc_id"),
         T.ascii_only(F.col("text")).alias("article"),
     )
@@ -83,7 +90,8 @@ def _place_options(df: DataFrame) -> DataFrame:
 def raw_questions(spark: SparkSession, folder: str) -> DataFrame:
     """Seven string columns and a key, with bad rows: an unknown label, padded
     labels, missing questions, missing articles and missing options."""
-    docs = table(spark, folder, "documents").select("doc_id", T.ascii_only(F.col("text")).alias("article"))
+    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    docs = docs.select("doc_id", T.ascii_only(F.col("text")).alias("article"))
     docs = docs.withColumn("tk", T.alnum_tokens(F.col("article")))
     t = lambda i: F.get("tk", F.lit(i))
     three = lambda *cols: F.when(F.size("tk") >= 20, F.concat_ws(" ", *cols))
