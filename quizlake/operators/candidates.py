@@ -217,8 +217,13 @@ def ranked_candidates(sentences: Column) -> Column:
 
 
 def with_candidates(df: DataFrame) -> DataFrame:
-    """Add ``sentences`` and the ranked ``candidates`` array."""
-    return with_sentences(df).withColumn("candidates", ranked_candidates(F.col("sentences")))
+    """Add ``sentences`` and the ranked ``candidates`` array.
+
+    The two are emitted by a generator: later filters then test the finished
+    arrays, and the extraction is never copied into their conditions.
+    """
+    found = F.struct("sentences", ranked_candidates(F.col("sentences")).alias("candidates"))
+    return with_sentences(df).select(*df.columns, F.inline(F.array(found)))
 
 
 def candidate_rows(df: DataFrame, limit: int | None = None) -> DataFrame:

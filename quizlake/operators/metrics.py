@@ -131,7 +131,7 @@ def describe(df: DataFrame, column: str, name: str) -> DataFrame:
     total = F.sum("n")
     mean = F.sum(v * n) / total
     var = (F.sum(v * v * n) - F.sum(v * n) * F.sum(v * n) / total) / (total - 1)
-    q = lambda p: F.percentile("v", p, "n")
+    q = lambda p: F.percentile("v", p, F.col("n"))
     return counted.agg(
         total.alias("n_rows"),
         mean.alias("mean"),
