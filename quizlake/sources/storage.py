@@ -33,9 +33,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a table that is read many times, reliably."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage of a table that is read more than once: written to the
+    shared folder and read back, so a lost executor costs no recomputation and
+    later joins know its size."""
+    path = new_folder(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def through_csv(df: DataFrame) -> DataFrame:
