@@ -7,6 +7,7 @@ from quizlake.catalog.registry import ORACLES, QUERIES
 from quizlake.catalog import (  # noqa: F401
     corpora,
     extraction,
+    models,
     options,
     questions,
     reports,
