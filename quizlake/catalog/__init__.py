@@ -12,6 +12,7 @@ from quizlake.catalog import (  # noqa: F401
     questions,
     reports,
     scalars,
+    streams,
     tables,
 )
 

@@ -17,8 +17,11 @@ TREES, DEPTH = 40, 10
 
 
 def _train_rows(spark, folder):
-    rows, _, _ = ML.verifier_rows(usable(spark, folder))
-    train = ML.assemble(ML.balanced_train(rows), V.VERIFIER_FEATURES)
+    rows, _, _ = storage.once(
+        spark, "verifier_rows", folder, lambda: ML.verifier_rows(usable(spark, folder))
+    )
+    balanced = storage.once(spark, "balanced", folder, lambda: ML.balanced_train(rows))
+    train = ML.assemble(balanced, V.VERIFIER_FEATURES)
     return train, ML.assemble(rows.where("split = 'test'"), V.VERIFIER_FEATURES)
 
 
@@ -64,9 +67,15 @@ def train_nb(spark, folder):
     )
 
 
+def trained_verifier(spark, folder):
+    return storage.once(
+        spark, "verifier", folder, lambda: ML.train_verifier(usable(spark, folder), TREES, DEPTH)
+    )
+
+
 @query("train_verifier")
 def train_verifier(spark, folder):
-    _, scored = ML.train_verifier(usable(spark, folder), TREES, DEPTH)
+    _, scored = trained_verifier(spark, folder)
     scored = storage.settle(scored.drop("features"))
     mcq = M.mcq_accuracy(scored, "row_id", "option", "label", "p").select("accuracy").scalar()
     return ML.model_report(scored).withColumn("mcq_accuracy", mcq)
@@ -105,6 +114,10 @@ def cluster_assignment(spark, folder):
 
 
 def _ranker(spark, folder):
+    return storage.once(spark, "ranker", folder, lambda: _trained_ranker(spark, folder))
+
+
+def _trained_ranker(spark, folder):
     article = usable(spark, folder).select(F.col("row_id").alias("group_id"), F.md5("article").alias("article_id"))
     rows = ranker_rows(spark, folder).join(article, "group_id")
     keep = ["group_id", "article_id", "candidate_index", "template", "target", "label"]
@@ -188,7 +201,7 @@ def text_passages(spark, folder):
 @query("build_quizzes")
 def build_quizzes(spark, folder):
     rows = usable(spark, folder)
-    verifier, _ = ML.train_verifier(rows, TREES, DEPTH)
+    verifier, _ = trained_verifier(spark, folder)
     ranker, _ = _ranker(spark, folder)
     forest, _, _ = ML.train_distractor_ranker(X.distractor_training_rows(rows), TREES, DEPTH)
     quizzes = MQ.build_quizzes(S.passages(spark, folder), K.corpus_records(rows), verifier, ranker, forest)

@@ -284,12 +284,14 @@ view(
 
 def passage_entries(spark, folder):
     """Passages with their best question and all option entries."""
-    from quizlake.sources import tables as S
-    from quizlake.sources.storage import settle
+    from quizlake.sources import storage, tables as S
+
+    def build():
+        drafts = storage.settle(OP.question_drafts(S.passages(spark, folder)))
+        found = RT.retrieve(OP.retrieval_queries(drafts), records(spark, folder), vocabulary(spark, folder))
+        return OP.with_entries(drafts, found)
 
-    drafts = settle(OP.question_drafts(S.passages(spark, folder)))
-    found = RT.retrieve(OP.retrieval_queries(drafts), records(spark, folder), vocabulary(spark, folder))
-    return OP.with_entries(drafts, found)
+    return storage.once(spark, "passage_entries", folder, build)
 
 
 def fixed_margin():

@@ -95,12 +95,12 @@ class CalibratedSvm:
         return out.withColumn(name, clipped).drop(*made)
 
 
-def train_svm_calibrated(train: DataFrame, keys: tuple[str, ...], folds: int = 3, max_iter: int = 200):
+def train_svm_calibrated(train: DataFrame, keys: tuple[str, ...], folds: int = 3, max_iter: int = 20):
     marked = settle(train.withColumn("_fold", fold(folds, *keys)))
     parts = []
     for i in range(folds):
         rest = marked.where(F.col("_fold") != i)
-        svm = LinearSVC(regParam=1.0 / rest.count(), maxIter=max_iter).fit(rest)
+        svm = LinearSVC(regParam=1.0 / rest.count(), maxIter=max_iter, tol=1e-4).fit(rest)
         margin = F.get(vector_to_array(F.col("rawPrediction")), F.lit(1))
         held = svm.transform(marked.where(F.col("_fold") == i))
         # the curve is fitted on margins of three digits with their counts, so
@@ -118,7 +118,7 @@ def train_svm_calibrated(train: DataFrame, keys: tuple[str, ...], folds: int = 3
 # -- cluster features ------------------------------------------------------------------
 
 
-def fit_clusters(options: DataFrame, buckets: int = 1024, components: int = 64, k: int = 2) -> PipelineModel:
+def fit_clusters(options: DataFrame, buckets: int = 256, components: int = 64, k: int = 2) -> PipelineModel:
     """TF-IDF of option texts in hashed buckets, main components, two clusters.
     ``options`` has ``terms``."""
     tf = HashingTF(inputCol="terms", outputCol="tf", numFeatures=buckets)

@@ -41,6 +41,20 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_BUILT: dict[tuple, object] = {}
+
+
+def once(spark: SparkSession, name: str, folder: str, build):
+    """Build a shared intermediate once per application and input folder, as a
+    retrieval index is built once and then searched; a table is settled first.
+    The input folder is taken to be unchanged while the application runs."""
+    key = (spark.sparkContext.applicationId, name, folder)
+    if key not in _BUILT:
+        made = build()
+        _BUILT[key] = settle(made) if isinstance(made, DataFrame) else made
+    return _BUILT[key]
+
+
 def through_csv(df: DataFrame) -> DataFrame:
     """Write as CSV with a header and read it back with the same schema."""
     spark = df.sparkSession
