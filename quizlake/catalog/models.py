@@ -187,17 +187,6 @@ def write_metadata(spark, folder):
     return spark.read.schema(meta.schema).json(f"{path}/metadata").withColumn("n_preview", lines)
 
 
-@query("text_passages")
-def text_passages(spark, folder):
-    """Documents written one per file and read back as whole texts."""
-    path = storage.new_folder(spark, "texts")
-    docs = S.passages(spark, folder).select("doc_id", "article")
-    docs.write.partitionBy("doc_id").option("lineSep", "\n").text(path)
-    rows = storage.read_text_passages(spark, path)
-    key = F.regexp_extract("doc_id", r"doc_id=([^/]+)", 1)
-    return rows.select(key.alias("doc_id"), F.length("article").alias("n_chars"))
-
-
 @query("build_quizzes")
 def build_quizzes(spark, folder):
     rows = usable(spark, folder)

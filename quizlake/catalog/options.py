@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quizlake.catalog.corpora import vocabulary
+from quizlake.catalog.corpora import settled, vocabulary
 from quizlake.catalog.extraction import with_best_sentence
 from quizlake.catalog.questions import question_table
 from quizlake.catalog.registry import (
@@ -333,25 +333,25 @@ def stage_filters(spark, folder):
 
 @query(
     "rank_options",
-    """select q_id, stage, quality, key, text, round(score, 6) as score,
+    """select q_id, stage, quality, key, text, round(score + 1e-10::double, 6) as score,
        row_number() over (partition by q_id order by n) - 1 as place from v_tried where stage < 4""",
 )
 def rank_options(spark, folder):
     rows = passage_entries(spark, folder)
     tried = rows.select("q_id", F.posexplode(OP.stage_lists(OP.fixed_scorer, fixed_margin())).alias("place", "e"))
     return tried.where("e.stage < 4").select(
-        "q_id", "e.stage", "e.quality", "e.key", "e.text", F.round("e.score", 6).alias("score"), "place"
+        "q_id", "e.stage", "e.quality", "e.key", "e.text", settled("e.score").alias("score"), "place"
     )
 
 
 @query(
     "select_diverse",
-    "select q_id, place, text, quality, round(score, 6) as score from v_picked",
+    "select q_id, place, text, quality, round(score + 1e-10::double, 6) as score from v_picked",
 )
 def select_diverse(spark, folder):
     rows = ladder(spark, folder).select("q_id", F.posexplode("picked").alias("p", "e"))
     return rows.select(
-        "q_id", (F.col("p") + 1).alias("place"), "e.text", "e.quality", F.round("e.score", 6).alias("score")
+        "q_id", (F.col("p") + 1).alias("place"), "e.text", "e.quality", settled("e.score").alias("score")
     )
 
 
