@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,21 +16,38 @@ QUESTION_SCHEMA = T.StructType(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.  Only where it
-    is unset, as in tests, one is made and set."""
+    """The folder the cluster names in ``spark.checkpoint.dir``.  Where it is
+    unset, a local master, as in tests, gets one of its own; any other master
+    has executors that would not see it, so that is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if not folder:
-        folder = tempfile.mkdtemp(prefix="quizlake-")
+        folder = own_folder(spark.sparkContext.master)
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def own_folder(master: str) -> str:
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return tempfile.mkdtemp(prefix="quizlake-")
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; what is written there goes when the
+    application ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    hadoop_path, fs = _file_system(spark, path)
+    fs.deleteOnExit(hadoop_path)
+    return path
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -41,14 +59,34 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop(df: DataFrame) -> None:
+    """Remove a settled table that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        if folder.rpartition("/")[2].startswith("table-"):
+            hadoop_path, fs = _file_system(spark, folder)
+            fs.delete(hadoop_path, True)
+
+
+def stamp(spark: SparkSession, folder: str) -> tuple:
+    """Name, length and time of every file below a folder: changes whenever an
+    input table is written anew."""
+    hadoop_path, fs = _file_system(spark, folder)
+    files, found = fs.listFiles(hadoop_path, True), []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
 _BUILT: dict[tuple, object] = {}
 
 
 def once(spark: SparkSession, name: str, folder: str, build):
-    """Build a shared intermediate once per application and input folder, as a
-    retrieval index is built once and then searched; a table is settled first.
-    The input folder is taken to be unchanged while the application runs."""
-    key = (spark.sparkContext.applicationId, name, folder)
+    """Build a shared intermediate once per application and state of the input
+    folder, as a retrieval index is built once and then searched; a table is
+    settled first.  A changed file in the folder builds it anew."""
+    key = (spark.sparkContext.applicationId, name, folder, stamp(spark, folder))
     if key not in _BUILT:
         made = build()
         _BUILT[key] = settle(made) if isinstance(made, DataFrame) else made
@@ -102,8 +140,9 @@ def fingerprint(df: DataFrame) -> DataFrame:
 
 
 def index_is_current(spark: SparkSession, records: DataFrame, path: str) -> bool:
-    try:
-        old = spark.read.parquet(f"{path}/manifest").first()
-    except Exception:
+    """False where no manifest is written yet; any other fault is raised."""
+    hadoop_path, fs = _file_system(spark, f"{path}/manifest")
+    if not fs.exists(hadoop_path):
         return False
+    old = spark.read.parquet(f"{path}/manifest").first()
     return old == fingerprint(records).first()
