@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quizlake.llm import bpe
+from quizlake.llm import bpe, toxicity
 from quizlake.llm.common import spread, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,9 @@ def tokenizer_file(name: str) -> str:
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return bpe.digests(docs, tokenizer_file("word_bpe_49k.json"))
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
