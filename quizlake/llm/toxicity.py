@@ -96,19 +96,17 @@ def _sigmoid(x: float) -> float:
     return float(1 / (1 + np.exp(-np.clip(x, -35, 35))))
 
 
-def fit(texts: list[str], labels: list[int], epochs: int = 5) -> tuple[np.ndarray, np.ndarray, float]:
-    """Feature hashes (sorted), their weights, and the bias."""
-    if not texts:
+def fit(rows: list[np.ndarray], labels: list[int], epochs: int = 5) -> tuple[np.ndarray, np.ndarray, float]:
+    """Feature hashes (sorted), their weights, and the bias, from the distinct
+    features of each text and its label."""
+    if not rows:
         return np.zeros(0, np.uint64), np.zeros(0), 0.0
     seen = np.zeros(2**24, np.uint8)
     low = np.uint64(2**24 - 1)
-    for text in texts:
-        at = np.unique(features(text) & low)
+    for f in rows:
+        at = np.unique(f & low)
         seen[at] = np.minimum(seen[at], 2) + 1
-    rows = []
-    for text in texts:
-        f = np.unique(features(text))
-        rows.append(f[seen[f & low] > 2])
+    rows = [f[seen[f & low] > 2] for f in rows]
     keys = np.unique(np.concatenate(rows))
     rows = [np.searchsorted(keys, r) for r in rows]
     model = Ftrl(len(keys))
@@ -123,18 +121,21 @@ def fit(texts: list[str], labels: list[int], epochs: int = 5) -> tuple[np.ndarra
 
 
 def train(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
-    """Fit on rows (k string, x text, y 0 or 1) that the caller has bounded.
-    Without rows there are no weights, and every score is 0.5."""
+    """Fit on rows (k string, x text, y 0 or 1) that the caller has bounded:
+    features in all tasks, the passes of FTRL in one.  Without rows there are no
+    weights, and every score is 0.5."""
+
+    @F.pandas_udf("binary")
+    def distinct_features(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(features(t if isinstance(t, str) else None)).tobytes() for t in texts])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        frame = pd.concat([pd.DataFrame({"k": [], "x": [], "y": [], "h": []}), *frames])
-        frame = frame.sort_values(["h", "k", "x", "y"], kind="stable")
-        texts = [x if isinstance(x, str) else "" for x in frame["x"]]
-        keys, weights, bias = fit(texts, [int(y) for y in frame["y"]])
+        found = sorted((h, k, f, y) for frame in frames for h, k, f, y in frame.itertuples(index=False))
+        keys, weights, bias = fit([np.frombuffer(r[2], np.uint64) for r in found], [int(r[3]) for r in found])
         yield pd.DataFrame({"f": np.append(keys.view(np.int64), 0), "w": np.append(weights, bias)})
 
-    one_task = rows.withColumn("h", F.xxhash64("k")).repartition(1)
-    found = one_task.mapInPandas(run, "f long, w double").toPandas()
+    made = rows.select(F.xxhash64("k").alias("h"), "k", distinct_features("x").alias("f"), "y")
+    found = made.repartition(1).mapInPandas(run, "f long, w double").toPandas()
     if found.empty:
         return np.zeros(0, np.uint64), np.zeros(0), 0.0
     keys = found["f"].to_numpy()[:-1].view(np.uint64)
