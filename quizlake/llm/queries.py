@@ -5,9 +5,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quizlake.llm import bpe, toxicity
+from quizlake.llm import bpe, line_dedup, toxicity
 from quizlake.llm.common import spread, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
+
+
+@query("op9_line_dedup", line_dedup.SQL)
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.cleaned(spread(table(spark, sf_dir, "documents")))
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return kept.select("doc_id", "n_lines", "n_removed", digest.alias("kept_sha256"))
