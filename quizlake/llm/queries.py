@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quizlake.llm import bpe, line_dedup, toxicity
+from quizlake.llm import bpe, jaccard_join, line_dedup, toxicity
 from quizlake.llm.common import spread, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,9 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.cleaned(spread(table(spark, sf_dir, "documents")))
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
     return kept.select("doc_id", "n_lines", "n_removed", digest.alias("kept_sha256"))
+
+
+@query("op8_ngram_jaccard_join", jaccard_join.SQL)
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return jaccard_join.jaccard_classes(docs).select(F.col("d").alias("doc_id"), "class_id", "n_links")
