@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quizlake.llm import bpe, jaccard_join, line_dedup, toxicity
-from quizlake.llm.common import spread, table
+from quizlake.llm import bpe, decontaminate, jaccard_join, line_dedup, toxicity
+from quizlake.llm.common import NO_ID, spread, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,4 +53,11 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_ngram_jaccard_join", jaccard_join.SQL)
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return jaccard_join.jaccard_classes(docs).select(F.col("d").alias("doc_id"), "class_id", "n_links")
+    return jaccard_join.jaccard_classes(docs).select(
+        F.nullif("d", F.lit(NO_ID)).alias("doc_id"), "class_id", "n_links")
+
+
+@query("op4_benchmark_decontamination")
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
