@@ -31,7 +31,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-MEMO = 600_000
+MEMO = 300_000
 BLOCK_CHARS = 1_000_000
 END = "</w>"
 # fixed value: the split pattern of the vocabulary file
@@ -207,12 +207,12 @@ def load(path: str) -> Bpe:
     return _LOADED[path]
 
 
-def blocks(texts: Iterable[str]) -> Iterator[list[str]]:
+def blocks(texts: Iterable[str | None]) -> Iterator[list[str | None]]:
     """Runs of texts of about BLOCK_CHARS letters."""
     block, size = [], 0
     for text in texts:
         block.append(text)
-        size += len(text)
+        size += len(text or "")
         if size >= BLOCK_CHARS:
             yield block
             block, size = [], 0
@@ -222,8 +222,8 @@ def blocks(texts: Iterable[str]) -> Iterator[list[str]]:
 
 def encode_texts(bpe: Bpe, texts: Iterable[str | None]) -> Iterator[tuple[bytes, str]]:
     """``encode`` of each text, with one trie for each block of texts."""
-    for block in blocks("" if t is None else t for t in texts):
-        split = [bpe.words(t) for t in block]
+    for block in blocks(texts):
+        split = [bpe.words(t or "") for t in block]
         bpe.learn({w for words in split for w in words})
         memo = bpe.memo
         for words in split:
@@ -244,8 +244,12 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", dec
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = load(path)
         for frame in frames:
-            found = list(encode_texts(bpe, _plain(frame[text])))
-            yield frame.assign(**{ids: [f[0] for f in found], decoded: [f[1] for f in found]})
+            start = 0
+            for block in blocks(_plain(frame[text])):
+                part = frame.iloc[start : start + len(block)]
+                start += len(block)
+                found = list(encode_texts(bpe, block))
+                yield part.assign(**{ids: [f[0] for f in found], decoded: [f[1] for f in found]})
 
     return docs.select(*kept).mapInPandas(run, f"{schema}, `{ids}` binary, `{decoded}` string")
 

@@ -4,10 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Stands for a missing document id in join keys, so that null ids meet too.
 NO_ID = -(2**63)
+#: Entries of a worker's memo of word hashes; it is emptied when full, which
+#: changes no result.
+MEMO = 200_000
+
+
+class WordHashes(dict):
+    """Hash of each word, computed when first met."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= MEMO:
+            self.clear()
+        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+#: One memo for all operators of a worker.
+HASHES = WordHashes()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

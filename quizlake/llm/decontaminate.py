@@ -23,34 +23,21 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import regex
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from quizlake.llm.common import fresh
+from quizlake.llm.common import HASHES, fresh
 
 SEED, LEAST, THRESHOLD = 3, 8, 0.5
 MATCH, MISS = 2, -1
 BLOCK = 5_000
-MEMO = 500_000
 WORD = regex.compile(r"[\p{L}\p{N}]+")
 LEAKS = "array<struct<item_id:long,score:double,first_word:long,last_word:long>>"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Hashes(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) > MEMO:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_HASHES = _Hashes()
-
-
 def word_hashes(text: str | None) -> np.ndarray:
     words = WORD.findall((text or "").lower())
-    return np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
+    return np.fromiter(map(HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
 def seeds(words: np.ndarray) -> np.ndarray:

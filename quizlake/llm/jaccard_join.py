@@ -32,7 +32,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from quizlake.llm.common import fresh, identity
+from quizlake.llm.common import HASHES, fresh, identity
 from quizlake.llm.graph import components
 from quizlake.sources.storage import settle
 
@@ -40,24 +40,12 @@ WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 40, 5
 STEP, TOLERANCE = 20, 1e-6
 BLOCK, BIN = 512, 1500
-MEMO = 500_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _draw = np.random.default_rng(20240607)
 _A = (_draw.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
 _B = _draw.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)[:, None]
 
 
-class _Hashes(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) > MEMO:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_HASHES = _Hashes()
-
-
 def split_words(text: str | None) -> list[str]:
     """Words between ASCII white space."""
     for c in "\t\n\v\f\r":
@@ -70,7 +58,7 @@ def shingles(text: str | None) -> np.ndarray:
     words = split_words(text)
     if not words:
         return np.zeros(0, np.uint64)
-    w = np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
+    w = np.fromiter(map(HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
     n = min(WORDS, len(w))
     with np.errstate(over="ignore"):
         h = np.full(len(w) - n + 1, n, np.uint64)

@@ -23,36 +23,21 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import regex
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from quizlake.llm.common import bucket, fresh, sampled
+from quizlake.llm.common import HASHES, bucket, fresh, sampled
 
-TRAIN_ROWS = 20_000
+TRAIN_ROWS = 12_000
 MAX_WEIGHTS = 200_000
 IDLE = 0.01
-MEMO = 500_000
 WORD = regex.compile(r"[\p{L}\p{N}\p{M}]+")
 NEXT, SKIP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-class WordHashes(dict):
-    """Hash of each word, computed when first met; emptied when too large."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > MEMO:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_HASHES = WordHashes()
-
-
 def features(text: str | None) -> np.ndarray:
     """Hashes of words, word pairs and skip pairs; may repeat."""
     words = WORD.findall((text or "").lower())
-    one = np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
+    one = np.fromiter(map(HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
     with np.errstate(over="ignore"):
         pair = (one[:-1] * NEXT) ^ one[1:]
         skip = (one[:-2] * SKIP) ^ one[2:]
@@ -106,7 +91,8 @@ def fit(rows: list[np.ndarray], labels: list[int], epochs: int = 5) -> tuple[np.
     for f in rows:
         at = np.unique(f & low)
         seen[at] = np.minimum(seen[at], 2) + 1
-    rows = [f[seen[f & low] > 2] for f in rows]
+    for k, f in enumerate(rows):
+        rows[k] = f[seen[f & low] > 2]
     keys = np.unique(np.concatenate(rows))
     rows = [np.searchsorted(keys, r) for r in rows]
     model = Ftrl(len(keys))
@@ -130,8 +116,9 @@ def train(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
         return pd.Series([np.unique(features(t if isinstance(t, str) else None)).tobytes() for t in texts])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found = sorted((h, k, f, y) for frame in frames for h, k, f, y in frame.itertuples(index=False))
-        keys, weights, bias = fit([np.frombuffer(r[2], np.uint64) for r in found], [int(r[3]) for r in found])
+        found = [(h, k, np.frombuffer(f, np.uint64).copy(), y) for frame in frames for h, k, f, y in frame.itertuples(index=False)]
+        found.sort(key=lambda r: r[:2])
+        keys, weights, bias = fit([r[2] for r in found], [int(r[3]) for r in found])
         yield pd.DataFrame({"f": np.append(keys.view(np.int64), 0), "w": np.append(weights, bias)})
 
     made = rows.select(F.xxhash64("k").alias("h"), "k", distinct_features("x").alias("f"), "y")
