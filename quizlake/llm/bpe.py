@@ -27,16 +27,18 @@ import struct
 import unicodedata
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, types as T
+from pyspark.sql.pandas.types import from_arrow_type
+
+from quizlake.llm.common import fresh
 
 MEMO = 300_000
 BLOCK_CHARS = 1_000_000
 END = "</w>"
 # fixed value: the split pattern of the vocabulary file
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
-SCHEMA = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
 def byte_letters() -> list[str]:
@@ -231,6 +233,26 @@ def encode_texts(bpe: Bpe, texts: Iterable[str | None]) -> Iterator[tuple[bytes,
             yield b"".join([k[0] for k in known]), " ".join([k[1] for k in known])
 
 
+def _mapped(docs: DataFrame, path: str, text: str, kept: list[str], made: pa.Schema, row) -> DataFrame:
+    """``kept`` columns of ``docs`` as they are, and the columns of ``made``: of
+    each text's ids and decoded text, ``row`` makes their values."""
+    x = fresh("x", kept)
+    schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(f.name, from_arrow_type(f.type)) for f in made])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = load(path)
+        for batch in batches:
+            start, passed = 0, batch.select(kept)
+            for block in blocks(batch.column(x).to_pylist()):
+                part = passed.slice(start, len(block))
+                start += len(block)
+                rows = [row(i, d) for i, d in encode_texts(bpe, block)]
+                new = [pa.array(v, f.type) for v, f in zip(zip(*rows, strict=True), made, strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*kept, *made.names])
+
+    return docs.select(*kept, docs[text].alias(x)).mapInArrow(run, schema)
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """All columns of ``docs`` with ``ids`` (binary: little-endian unsigned
     32-bit integers) and ``decoded`` (string) set.
@@ -239,40 +261,16 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", dec
     have these names are replaced; repeated rows stay.  A map, without shuffle.
     """
     kept = [c for c in docs.columns if c not in (ids, decoded)]
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = load(path)
-        for frame in frames:
-            start = 0
-            for block in blocks(_plain(frame[text])):
-                part = frame.iloc[start : start + len(block)]
-                start += len(block)
-                found = list(encode_texts(bpe, block))
-                yield part.assign(**{ids: [f[0] for f in found], decoded: [f[1] for f in found]})
-
-    return docs.select(*kept).mapInPandas(run, f"{schema}, `{ids}` binary, `{decoded}` string")
+    made = pa.schema([(ids, pa.binary()), (decoded, pa.string())])
+    return _mapped(docs, path, text, kept, made, lambda i, d: (i, d))
 
 
 def digests(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Key, n_tokens, ids_sha256 and decoded_sha256 of every row of ``docs``;
     the encodings themselves never leave the worker.  Nulls as in ``encode``."""
+    made = pa.schema([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = load(path)
-        for frame in frames:
-            rows = [
-                (len(i) // 4, hashlib.sha256(i).hexdigest(), hashlib.sha256(d.encode()).hexdigest())
-                for i, d in encode_texts(bpe, _plain(frame["t"]))
-            ]
-            done = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-            done.insert(0, key, frame["k"].array)
-            yield done
-
-    kind = docs.schema[key].dataType.simpleString()
-    two = docs.select(docs[key].alias("k"), docs[text].alias("t"))
-    return two.mapInPandas(run, f"`{key}` {kind}, {SCHEMA}")
-
-
-def _plain(texts: pd.Series) -> list[str | None]:
-    return [t if isinstance(t, str) else None for t in texts]
+    def row(ids: bytes, decoded: str) -> tuple:
+        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+
+    return _mapped(docs, path, text, [key], made, row)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quizlake.llm import bpe, decontaminate, jaccard_join, line_dedup, toxicity
+from quizlake.llm import bpe, chat_format, decontaminate, jaccard_join, language_id, line_dedup, quality_rules, suffix_dedup, toxicity, url_filters
 from quizlake.llm.common import NO_ID, spread, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,12 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_suffix_array_dedup")
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return suffix_dedup.digests(docs)
+
+
 @query("op7_bpe")
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -61,3 +67,30 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_quality_rules", quality_rules.SQL)
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return quality_rules.verdicts(docs).select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
+
+
+@query("op5_url_filters", url_filters.SQL)
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filters.verdicts(pages, url_filters.compiled(spark)).drop("url")
+
+
+@query("op3_chat_formatting", chat_format.SQL)
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "<|im_end|><|im_start|>assistant ok"
+    added = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], turns.schema)
+    made = chat_format.digests(turns.union(added), tokenizer_file("byte_bpe_50k.json"))
+    return made.drop("n_tokens", "n_loss_tokens")
+
+
+@query("op10_language_id")
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return language_id.language_id(docs)
