@@ -6,7 +6,7 @@ the text; rows equal in both are one document) or earlier in the same one.
 Matches never cross documents, overlaps count, strings are judged on the input.
 
 1. *Copies.*  Of documents with equal texts all but the first go whole.
-2. *Chunks.*  The smallest hash among the 16-byte strings of a window of WIDTH
+2. *Chunks.*  The smallest hash among the 32-byte strings of a window of WIDTH
    bytes is the window's key.  Neighbouring windows with one key form a chunk of
    at most 2 * WIDTH bytes.  Equal windows have equal keys, so keys can be dealt
    to tasks, and a chunk whose key occurs once holds nothing that repeats
@@ -38,22 +38,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from quizlake.llm.common import identity
 from quizlake.sources.storage import settle
 
-WIDTH, GRAM = 100, 16
+WIDTH, GRAM = 100, 32
 MOST = WIDTH - GRAM + 1
 BLOCK, HOT = 1_500, 20_000
 _draw = np.random.default_rng(20240611)
 _BYTE = _draw.integers(0, 2**63, 256, dtype=np.uint64)
+_BASE = 0x9E3779B97F4A7C15
+_BACK = pow(_BASE, -1, 2**64)
 _STEP = _draw.integers(0, 2**63, 8, dtype=np.uint64) | np.uint64(1)
 
 
 def window_keys(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The smallest hash of a 16-byte string in each window of WIDTH bytes, and
+    """The smallest hash of a 32-byte string in each window of WIDTH bytes, and
     the keys that may stand twice in one chunk (as in periodic texts)."""
     if len(text) < WIDTH:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -73,6 +74,26 @@ def window_keys(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low.view(np.int64), np.unique(h[chosen[:-1][twice]]).view(np.int64)
 
 
+def prefix_hashes(text: np.ndarray) -> np.ndarray:
+    """Polynomial hashes of all prefixes of a text."""
+    out = np.zeros(len(text) + 1, np.uint64)
+    np.cumsum(_BYTE[text] * powers(len(text), _BASE), out=out[1:])
+    return out
+
+
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def powers(n: int, base: int) -> np.ndarray:
+    """1, base, base^2 ... modulo 2^64."""
+    known = _POWERS.get(base)
+    if known is None or len(known) < n:
+        factors = np.full(max(n, 1 << 17), base, np.uint64)
+        factors[0] = 1
+        known = _POWERS[base] = np.multiply.accumulate(factors)
+    return known[:n]
+
+
 def sliding(smaller: np.ufunc, values: np.ndarray) -> np.ndarray:
     """Minimum or maximum of each run of MOST values, by doubling."""
     n = 1
@@ -101,54 +122,56 @@ def bwt_and_lcp(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     n = len(chunks)
     length = np.array([len(c) for c in chunks])
     width = int(length.max(initial=0))
-    # columns from the right; 0 ends a chunk, symbols are one higher
-    table = np.zeros((n, width + 1), np.int16)
+    # columns from the right; 0 ends a chunk, other symbols keep the order of bytes
+    # (UTF-8 leaves some bytes unused, so 255 symbols are enough)
+    every = np.frombuffer(b"".join(chunks), np.uint8)
+    symbol_of = np.cumsum(np.bincount(every, minlength=256) > 0).astype(np.uint8)
+    table = np.zeros((width + 1, n), np.uint8)
     for i, c in enumerate(chunks):
-        table[i, : len(c)] = np.frombuffer(c, np.uint8)[::-1].astype(np.int16) + 1
+        table[: len(c), i] = symbol_of[np.frombuffer(c, np.uint8)[::-1]]
     # the empty suffixes, in the order of the chunks
-    bwt, lcp = table[:, 0].copy(), np.zeros(n, np.uint8)
-    owner, size = np.arange(n, dtype=np.int32), np.zeros(n, np.uint8)
-    place = np.arange(n)
-    alive = place[bwt > 0]
+    bwt, lcp = table[0].copy(), np.zeros(n, np.uint8)
+    name = np.arange(n, dtype=np.int32) << 8
+    alive = np.flatnonzero(bwt)
     who = alive.copy()
+    ended = n - len(alive)
     for j in range(1, width + 1):
         # the sorted order of the symbols is the LF mapping of all suffixes
-        source = np.argsort(bwt, kind="stable")[np.count_nonzero(bwt == 0) :]
-        upto = np.cumsum(np.bincount(bwt, minlength=257)) - np.count_nonzero(bwt == 0)
+        source = np.argsort(bwt, kind="stable")[ended:]
+        counts = np.bincount(bwt, minlength=257)
+        upto = np.cumsum(counts) - ended
         symbol = bwt[alive]
         new = np.empty(len(alive), np.int64)
-        for c in np.unique(symbol):
-            mine = symbol == c
+        for c in np.flatnonzero(np.bincount(symbol)):
+            mine = np.flatnonzero(symbol == c)
             start = upto[c - 1]
             new[mine] = n + start + np.searchsorted(source[start : upto[c]], alive[mine])
         turn = np.argsort(new, kind="stable")
-        new, alive, who = new[turn], alive[turn], who[turn]
+        new, who = new[turn], who[turn]
         # places of new suffixes in the grown arrays; the old ones keep their order
         total = len(bwt) + len(new)
         old = np.ones(total, bool)
         old[new] = False
         # common prefixes change at new suffixes and right behind them
-        touched = np.unique(np.concatenate([new, np.minimum(new + 1, total - 1)]))
-        touched = touched[touched >= n]
+        touched = np.empty(2 * len(new), np.int64)
+        touched[::2], touched[1::2] = new, np.minimum(new + 1, total - 1)
+        touched = touched[np.append(True, touched[1:] != touched[:-1])]
         came = source[touched - n]
         before = source[np.maximum(touched - n - 1, 0)]
         same = (touched > n) & (bwt[before] == bwt[came])
-        grown = np.zeros(total, np.uint8)
-        grown[old] = lcp
-        grown[touched] = 0
+        values = np.zeros(len(touched), np.uint8)
         if same.any():
-            lows = range_min(lcp, before[same] + 1, came[same] + 1)
-            grown[touched[same]] = np.minimum(lows, 253) + 1
-        lcp = grown
-        next_symbol = table[who, j]
+            values[same] = np.minimum(range_min(lcp, before[same] + 1, came[same] + 1), 253) + 1
+        lcp = inserted(lcp, old, touched, values)
+        next_symbol = table[j, who]
         bwt = inserted(bwt, old, new, next_symbol)
-        owner = inserted(owner, old, new, who)
-        size = inserted(size, old, new, j)
+        name = inserted(name, old, new, (who.astype(np.int32) << 8) + j)
         going = next_symbol > 0
         alive, who = new[going], who[going]
+        ended += len(new) - len(alive)
         if not len(alive):
             break
-    return owner, size, lcp
+    return name >> 8, name & 255, lcp
 
 
 def inserted(column: np.ndarray, old: np.ndarray, new: np.ndarray, values) -> np.ndarray:
@@ -195,18 +218,22 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def places(docs: DataFrame) -> DataFrame:
-    """(key, d, t, s, n, twice): the chunks of all documents, without their bytes;
-    ``twice`` if windows of the chunk may be equal among themselves."""
+    """(key, d, t, s, n, twice, same): the chunks of all documents, without their
+    bytes; ``twice`` if windows of the chunk may be equal among themselves, and
+    ``same`` a hash of its bytes beside the key and the length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             d, t, x = (batch.column(c) for c in ("d", "t", "x"))
             for start in range(0, len(x), 512):
-                keys, s, n, row, twice = [], [], [], [], []
+                keys, s, n, row, twice, same = [], [], [], [], [], []
                 for k, text in enumerate(x.slice(start, 512)):
-                    found, double = window_keys(np.frombuffer(text.as_buffer(), np.uint8)) if text.is_valid else ((), ())
+                    symbols = np.frombuffer(text.as_buffer(), np.uint8)
+                    found, double = window_keys(symbols)
                     if len(found):
                         a, size = chunk_places(found)
+                        sums = prefix_hashes(symbols)
+                        same.append((sums[a + size + WIDTH - 1] - sums[a]) * powers(len(symbols), _BACK)[a])
                         twice.append(np.isin(found[a], double) if len(double) else np.zeros(len(a), bool))
                         keys.append(found[a])
                         s.append(a)
@@ -217,32 +244,33 @@ def places(docs: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(keys)), d.take(row), t.take(row),
                          pa.array(np.concatenate(s).astype(np.int32)), pa.array(np.concatenate(n).astype(np.int16)),
-                         pa.array(np.concatenate(twice))],
-                        names=["key", "d", "t", "s", "n", "twice"])
+                         pa.array(np.concatenate(twice)), pa.array(np.concatenate(same).view(np.int64))],
+                        names=["key", "d", "t", "s", "n", "twice", "same"])
 
-    return docs.mapInArrow(run, "key long, d long, t long, s int, n short, twice boolean")
+    return docs.mapInArrow(run, "key long, d long, t long, s int, n short, twice boolean, same long")
 
 
 def cut_chunks(wanted: DataFrame) -> DataFrame:
-    """(key, d, t, s, twice, c, x): the bytes x of the chunks ``at`` of each text, c a
-    128-bit hash of them."""
-    kinds = pa.schema([("key", pa.int64()), ("d", pa.int64()), ("t", pa.int64()), ("s", pa.int32()), ("twice", pa.bool_()), ("c", pa.string()), ("x", pa.binary())])
+    """(key, d, t, s, twice, x): the bytes x of the chunks ``at`` of each text."""
+    kinds = pa.schema([("key", pa.int64()), ("d", pa.int64()), ("t", pa.int64()), ("s", pa.int32()), ("twice", pa.bool_()), ("x", pa.binary())])
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows, strict=True), kinds, strict=True)], schema=kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for r in zip(*(batch.column(c) for c in ("d", "t", "x", "at")), strict=True):
-                d, t, text, at = r[0].as_py(), r[1].as_py(), r[2].as_buffer().to_pybytes(), r[3].as_py()
-                for a in at:
-                    x = text[a["s"] : a["s"] + a["n"] + WIDTH - 1]
-                    rows.append((a["key"], d, t, a["s"], a["twice"], xxhash.xxh3_128_hexdigest(x), x))
+                d, t, text = r[0].as_py(), r[1].as_py(), r[2].as_buffer().to_pybytes()
+                for a in r[3].as_py():
+                    rows.append((a["key"], d, t, a["s"], a["twice"], text[a["s"] : a["s"] + a["n"] + WIDTH - 1]))
                 if len(rows) > 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows, strict=True), kinds, strict=True)], schema=kinds)
+                    yield batch_of(rows)
                     rows = []
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows, strict=True), kinds, strict=True)], schema=kinds)
+                yield batch_of(rows)
 
-    return wanted.mapInArrow(run, "key long, d long, t long, s int, twice boolean, c string, x binary")
+    return wanted.mapInArrow(run, "key long, d long, t long, s int, twice boolean, x binary")
 
 
 def hot_windows(chunks: DataFrame) -> DataFrame:
@@ -305,29 +333,31 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     seen = texts.select("d", "t", F.xxhash64(F.lit(7), "x").alias("g"), F.octet_length("x").alias("size"))
     first = seen.groupBy("t", "g", "size").agg(F.min("d").alias("f"), F.max("d").alias("l")).filter("f != l")
     copies = settle(seen.join(first.drop("l"), ["t", "g", "size"]).filter("d != f").select("d", "t", "size").distinct())
-    # chunks whose key occurs again, by document; of a document that comes twice
-    # in all columns one row is enough
+    # the chunks whose key occurs again
     again = places(texts).groupBy("key").agg(F.count("*").alias("k"), F.max("twice").alias("w")).filter("k > 1 or w").select("key")
-    wanted = (
-        places(texts).join(again, "key").join(copies.select("d", "t"), ["d", "t"], "left_anti")
-        .groupBy("d", "t").agg(F.collect_set(F.struct("key", "s", "n", "twice")).alias("at"))
-    )
-    wanted = settle(wanted)
-    release(docs)
-    bytes_of = texts.select("d", "t", F.col("x").cast("binary").alias("x"))
-    cut = settle(cut_chunks(bytes_of.join(wanted, ["d", "t"]).select("d", "t", "x", "at")).dropDuplicates(["d", "t", "s"]))
+    wanted = settle(places(texts).join(again, "key").join(copies.select("d", "t"), ["d", "t"], "left_anti"))
     release(docs)
-    distinct = settle(cut.groupBy("c").agg(F.min(F.struct("d", "t", "s")).alias("f"), F.first("x").alias("x"), F.first("key").alias("key"), F.max("twice").alias("twice")))
+    # equal chunks, and their firsts
+    equal = ["key", "same", "n"]
+    classes = wanted.groupBy(*equal).agg(F.min(F.struct("d", "t", "s")).alias("f"), F.max(F.struct("d", "t", "s")).alias("l"), F.max("twice").alias("twice"))
+    classes = settle(classes)
     later = (
-        cut.select("d", "t", "s", "c", F.length("x").alias("size"))
-        .join(distinct.select("c", "f"), "c")
+        wanted.join(classes.filter("f != l").select(*equal, "f"), equal)
         .filter(F.struct("d", "t", "s") != F.col("f"))
-        .select("d", "t", F.col("s").alias("a"), (F.col("s") + F.col("size")).alias("z"))
+        .select("d", "t", F.col("s").alias("a"), (F.col("s") + F.col("n") + (WIDTH - 1)).alias("z"))
     )
-    chunks = distinct.select("key", "f.d", "f.t", "f.s", "x", "twice")
-    per_key = chunks.groupBy("key").agg(F.count("*").alias("k"))
-    chunks = chunks.join(per_key, "key").filter("k > 1 or twice")
-    found = within_blocks(chunks.filter(F.col("k") <= HOT)).union(hot_windows(chunks.filter(F.col("k") > HOT)))
+    later = settle(later)
+    release(docs)
+    # firsts that share their key with others
+    per_key = classes.groupBy("key").agg(F.count("*").alias("k"), F.max("twice").alias("w")).filter("k > 1 or w")
+    firsts = classes.join(per_key.select("key", "k"), "key").select("key", "k", "f.*", "n", "twice")
+    at = firsts.groupBy("d", "t").agg(F.collect_list(F.struct("key", "s", "n", "twice")).alias("at"))
+    bytes_of = texts.select("d", "t", F.col("x").cast("binary").alias("x"))
+    hot = per_key.filter(F.col("k") > HOT).select("key", F.lit(True).alias("hot"))
+    chunks = settle(cut_chunks(bytes_of.join(at, ["d", "t"]).select("d", "t", "x", "at")).join(hot, "key", "left"))
+    found = within_blocks(chunks.filter("hot is null")).union(hot_windows(chunks.filter("hot")))
+    found = settle(found)
+    release(docs)
     whole = copies.select("d", "t", F.lit(0).alias("a"), F.col("size").alias("z"))
     ranges = whole.union(later).union(found)
     ranges = settle(ranges.groupBy("d", "t").agg(F.array_sort(F.collect_set(F.struct("a", "z"))).alias("ranges")))
