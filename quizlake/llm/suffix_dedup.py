@@ -138,16 +138,13 @@ def bwt_and_lcp(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     for j in range(1, width + 1):
         # the sorted order of the symbols is the LF mapping of all suffixes
         source = np.argsort(bwt, kind="stable")[ended:]
-        counts = np.bincount(bwt, minlength=257)
-        upto = np.cumsum(counts) - ended
-        symbol = bwt[alive]
-        new = np.empty(len(alive), np.int64)
-        for c in np.flatnonzero(np.bincount(symbol)):
-            mine = np.flatnonzero(symbol == c)
-            start = upto[c - 1]
-            new[mine] = n + start + np.searchsorted(source[start : upto[c]], alive[mine])
-        turn = np.argsort(new, kind="stable")
-        new, who = new[turn], who[turn]
+        counts = np.bincount(bwt, minlength=256)
+        counts[0] = 0
+        keys = np.repeat(np.arange(256) << 40, counts)
+        keys += source
+        wanted = (bwt[alive].astype(np.int64) << 40) + alive
+        turn = np.argsort(wanted)
+        new, who = n + np.searchsorted(keys, wanted[turn]), who[turn]
         # places of new suffixes in the grown arrays; the old ones keep their order
         total = len(bwt) + len(new)
         old = np.ones(total, bool)
