@@ -2,8 +2,9 @@
 
 Words are runs of letters or digits, lower-cased.  Every run of SEED words of a
 test item is a possible seed.  A first pass over the documents counts them, and
-each item keeps the rarer half of its seeds (at least LEAST), so phrases that
-stand everywhere join nothing while a passage that leaked everywhere still does.
+each item keeps the seeds that are rare for it: those counted at most COMMON times
+as often as its median seed.  So phrases that stand everywhere join nothing while
+a passage that leaked everywhere still does, and at least half of the seeds stay.
 A second pass looks up the kept seeds, lines the item up with the passage around
 each seed and scores it by Smith-Waterman over words (match 2, else and gap -1).
 The score is the share of the best possible one; THRESHOLD and more is a leak.
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from quizlake.llm.common import HASHES, fresh
 
-SEED, LEAST, THRESHOLD = 3, 8, 0.5
+SEED, COMMON, THRESHOLD = 3, 8, 0.5
 MATCH, MISS = 2, -1
 BLOCK = 5_000
 WORD = regex.compile(r"[\p{L}\p{N}]+")
@@ -75,13 +76,14 @@ class Index:
 
     @classmethod
     def of(cls, items: list[tuple[int | None, np.ndarray]], counts: dict[int, int] | None = None) -> Index:
-        """All seeds, or, given their counts, the rarer half of each item's."""
+        """All seeds, or, given their counts, those that are rare for their item."""
         found = defaultdict(list)
         for i, (_, words) in enumerate(items):
             own = [(int(h), p) for p, h in enumerate(seeds(words))]
             if counts is not None:
-                own.sort(key=lambda x: (counts.get(x[0], 0), x))
-                own = own[: max(LEAST, -(-len(own) // 2))]
+                often = [counts.get(h, 0) for h, _ in own]
+                most = COMMON * max(1, sorted(often)[len(often) // 2] if often else 0)
+                own = [x for x, n in zip(own, often, strict=True) if n <= most]
             for h, p in own:
                 found[h].append((i, p))
         keys = np.array(sorted(found), dtype=np.uint64)
