@@ -150,6 +150,18 @@ def seed_counts(docs: DataFrame, index: Index) -> dict[int, int]:
     return {int(index.keys[r["k"]]): r["n"] for r in rows}
 
 
+def leak_finder(shared):
+    """The leaks of texts against one broadcast block, as a column function."""
+    names = ("item_id", "score", "first_word", "last_word")
+
+    @F.pandas_udf(LEAKS)
+    def found(texts: pd.Series) -> pd.Series:
+        judged = (shared.value.leaks(t if isinstance(t, str) else None) for t in texts)
+        return pd.Series([[dict(zip(names, x, strict=True)) for x in leaks] for leaks in judged], dtype=object)
+
+    return found
+
+
 def with_leaks(docs: DataFrame, benchmark: DataFrame, out: str = "leaks") -> DataFrame:
     """``docs`` with an array column of its leaks (item_id, score, words)."""
     parts = []
@@ -157,16 +169,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, out: str = "leaks") -> Dat
         counts = seed_counts(docs, Index.of(items))
         shared = docs.sparkSession.sparkContext.broadcast(Index.of(items, counts))
 
-        def found(texts: pd.Series, shared=shared) -> pd.Series:
-            return pd.Series(
-                [
-                    [dict(zip(("item_id", "score", "first_word", "last_word"), x, strict=True)) for x in shared.value.leaks(t if isinstance(t, str) else None)]
-                    for t in texts
-                ],
-                dtype=object,
-            )
-
-        parts.append(F.pandas_udf(found, LEAKS, F.PandasUDFType.SCALAR)("text"))
+        parts.append(leak_finder(shared)("text"))
     empty = F.array().cast(LEAKS)
     return docs.withColumn(out, F.concat(empty, *parts) if parts else empty)
 

@@ -11,7 +11,8 @@ so that a host with few documents is judged by the prior rather than by chance.
 A host fails when its rate exceeds MAX_RATE, and all its documents with it.
 
 Only functions of DataFrames: array expressions in the row, one partial count by
-host before the shuffle, and a join of one row per host back to the documents.
+host before the shuffle, two numbers of the prior through the driver, and a join
+of one row per host back to the documents.
 Null and empty texts have no words and fail the base rules.
 """
 
@@ -93,11 +94,9 @@ def host_rates(judged: DataFrame, host: str) -> DataFrame:
     )
     m, v = F.coalesce("m", "overall"), F.greatest(F.col("v") - F.col("noise"), F.lit(1e-6))
     strength = F.greatest(F.coalesce(m * (1 - m) / v - 1, F.lit(1.0)), F.lit(1e-3))
-    prior = prior.select((m * strength).alias("a"), ((1 - m) * strength).alias("b"))
-    # one row of two numbers stands beside every host
-    return hosts.join(F.broadcast(prior)).select(
-        "host", "n_docs", "n_failed",
-        ((F.col("n_failed") + F.col("a")) / (F.col("n_docs") + F.col("a") + F.col("b"))).alias("rate"))
+    found = prior.select((m * strength).alias("a"), ((1 - m) * strength).alias("b")).first()
+    a, b = (F.lit(float(found[k] or 0.0)) for k in ("a", "b"))
+    return hosts.select("host", "n_docs", "n_failed", ((F.col("n_failed") + a) / (F.col("n_docs") + a + b)).alias("rate"))
 
 
 def with_verdicts(judged: DataFrame, rates: DataFrame, host: str) -> DataFrame:
