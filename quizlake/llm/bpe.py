@@ -34,7 +34,7 @@ from pyspark.sql.pandas.types import from_arrow_type
 
 from quizlake.llm.common import fresh
 
-MEMO = 300_000
+MEMO = 150_000
 BLOCK_CHARS = 1_000_000
 END = "</w>"
 # fixed value: the split pattern of the vocabulary file

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 NO_ID = -(2**63)
 #: Entries of a worker's memo of word hashes; it is emptied when full, which
 #: changes no result.
-MEMO = 200_000
+MEMO = 100_000
 
 
 class WordHashes(dict):

@@ -30,7 +30,7 @@ from quizlake.llm.common import bucket, sampled
 TRAIN_ROWS = 12_000
 MAX_WORDS, MAX_GRAMS = 60_000, 20_000
 ORDERS = (5, 4, 3, 2, 1)
-MEMO = 200_000
+MEMO = 100_000
 WORD = regex.compile(r"[\p{L}\p{M}]*\p{L}[\p{L}\p{M}]*")
 EDGE = "\n"
 

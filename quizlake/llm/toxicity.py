@@ -22,12 +22,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
 from quizlake.llm.common import HASHES, bucket, fresh, sampled
 
-TRAIN_ROWS = 12_000
+TRAIN_ROWS = 10_000
 MAX_WEIGHTS = 200_000
 IDLE = 0.01
 WORD = regex.compile(r"[\p{L}\p{N}\p{M}]+")
@@ -111,18 +112,31 @@ def train(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
     features in all tasks, the passes of FTRL in one.  Without rows there are no
     weights, and every score is 0.5."""
 
-    @F.pandas_udf("binary")
-    def distinct_features(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.unique(features(t if isinstance(t, str) else None)).tobytes() for t in texts])
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found = [(h, k, np.frombuffer(f, np.uint64).copy(), y) for frame in frames for h, k, f, y in frame.itertuples(index=False)]
+    row = pa.schema([("h", pa.int64()), ("k", pa.string()), ("f", pa.binary()), ("y", pa.int32())])
+
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, len(batch), 256):
+                part = batch.slice(start, 256)
+                made = [np.unique(features(x)).tobytes() for x in part.column("x").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("h"), part.column("k"), pa.array(made, pa.binary()), part.column("y")], schema=row)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = []
+        for batch in batches:
+            columns = batch.column("h").to_pylist(), batch.column("k").to_pylist(), batch.column("f"), batch.column("y").to_pylist()
+            found += [(h, k, np.frombuffer(f.as_buffer(), np.uint64) if f.as_buffer() else np.zeros(0, np.uint64), y)
+                      for h, k, f, y in zip(*columns, strict=True)]
         found.sort(key=lambda r: r[:2])
-        keys, weights, bias = fit([r[2] for r in found], [int(r[3]) for r in found])
-        yield pd.DataFrame({"f": np.append(keys.view(np.int64), 0), "w": np.append(weights, bias)})
-
-    made = rows.select(F.xxhash64("k").alias("h"), "k", distinct_features("x").alias("f"), "y")
-    found = made.repartition(1).mapInPandas(run, "f long, w double").toPandas()
+        texts, labels = [r[2] for r in found], [r[3] for r in found]
+        del found
+        keys, weights, bias = fit(texts, labels)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(keys.view(np.int64), 0)), pa.array(np.append(weights, bias))], names=["f", "w"])
+
+    made = rows.select(F.xxhash64("k").alias("h"), "k", "x", "y").mapInArrow(extract, "h long, k string, f binary, y int")
+    found = made.repartition(1).mapInArrow(run, "f long, w double").toPandas()
     if found.empty:
         return np.zeros(0, np.uint64), np.zeros(0), 0.0
     keys = found["f"].to_numpy()[:-1].view(np.uint64)
