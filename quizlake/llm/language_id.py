@@ -26,6 +26,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 from quizlake.llm.common import bucket, sampled
+from quizlake.sources.storage import settle
 
 TRAIN_ROWS = 12_000
 MAX_WORDS, MAX_GRAMS = 60_000, 20_000
@@ -119,7 +120,7 @@ def learn(rows: DataFrame) -> Model:
 
     counted = rows.mapInPandas(run, "n int, lang string, token string, k long")
     counted = counted.groupBy("n", "lang", "token").agg(F.sum("k").alias("k"))
-    whole = counted.groupBy("n", "token").agg(F.sum("k").alias("all"), F.collect_list(F.struct("lang", "k")).alias("by"))
+    whole = settle(counted.groupBy("n", "token").agg(F.sum("k").alias("all"), F.collect_list(F.struct("lang", "k")).alias("by")))
     found = []
     for n in (0, *ORDERS):
         own = whole.filter((F.col("n") == n) & ((F.col("all") > 1) if n == 0 else F.lit(True)))
