@@ -400,6 +400,7 @@ def ranker_training_rows(spark, folder):
 @query(
     "build_options_for_candidate",
     """
+    select * from (
     with pool as (
       select q.doc_id, q.rank, o.pos, o.text from (select doc_id, rank, text from v_cand where rank < 8) q
       join v_mcq m on m.row_id = q.doc_id,
@@ -408,7 +409,7 @@ def ranker_training_rows(spark, folder):
       where o.text is not null),
     first as (select * from pool qualify row_number() over (partition by doc_id, rank, lower(text) order by pos) = 1)
     select doc_id, rank, row_number() over (partition by doc_id, rank order by pos) as place, text as option_text
-    from first qualify place <= 4
+    from first qualify place <= 4)
     """,
 )
 def build_options_for_candidate(spark, folder):
