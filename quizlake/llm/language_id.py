@@ -18,7 +18,8 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -31,8 +32,9 @@ from quizlake.sources.storage import settle
 TRAIN_ROWS = 12_000
 MAX_WORDS, MAX_GRAMS = 60_000, 20_000
 ORDERS = (5, 4, 3, 2, 1)
-MEMO = 100_000
-WORD = regex.compile(r"[\p{L}\p{M}]*\p{L}[\p{L}\p{M}]*")
+#: Words of a text scored at a time.
+SLICE = 50_000
+WORD = regex.compile(r"\p{M}*\p{L}[\p{L}\p{M}]*")
 EDGE = "\n"
 
 
@@ -47,13 +49,12 @@ def grams(word: str, n: int) -> list[str]:
 
 @dataclass
 class Model:
-    """Log frequencies: a vector over ``langs`` for each word and n-gram."""
+    """Log frequencies over ``langs``: a row of ``logs`` for each word and n-gram."""
 
     langs: list[str]
-    word: dict[str, np.ndarray]
-    gram: dict[str, np.ndarray]
-    memo: dict[str, int] = field(default_factory=dict)
-    rows: list[np.ndarray] = field(default_factory=list)
+    word: dict[str, int]
+    gram: dict[str, int]
+    logs: np.ndarray
 
     @classmethod
     def of(cls, counts: list[tuple[int, str, str, int]]) -> Model:
@@ -63,40 +64,49 @@ class Model:
         tables: dict[int, dict[str, np.ndarray]] = {n: {} for n in (0, *ORDERS)}
         for n, lang, token, count in counts:
             tables[n].setdefault(token, np.zeros(len(langs)))[at[lang]] += count
-        logs = {}
+        rows, word, gram = [], {}, {}
         for n, found in tables.items():
             total = sum(found.values(), np.zeros(len(langs)))
             share = np.log(total + 0.5 * (len(found) + 1))
-            logs[n] = {t: np.log(c + 0.5) - share for t, c in found.items()}
-        return cls(langs, logs[0], {t: v for n in ORDERS for t, v in logs[n].items()})
-
-    def backoff(self, word: str) -> np.ndarray:
-        framed, i, found = EDGE + word + EDGE, 0, []
-        while i < len(framed):
+            for token, c in found.items():
+                (gram if n else word)[token] = len(rows)
+                rows.append(np.log(c + 0.5) - share)
+        return cls(langs, word, gram, np.array(rows).reshape(len(rows), len(langs)))
+
+    def backoff(self, word: str) -> list[int]:
+        """The longest known n-gram at each place of the word, if there is one."""
+        framed, found, get = EDGE + word + EDGE, [], self.gram.get
+        for i in range(len(framed)):
             for n in ORDERS:
-                v = self.gram.get(framed[i : i + n]) if i + n <= len(framed) else None
-                if v is not None:
-                    found.append(v)
+                at = get(framed[i : i + n])
+                if at is not None:
+                    found.append(at)
                     break
-            i += 1
-        return np.mean(found, axis=0) if found else np.zeros(len(self.langs))
+        return found
+
+    def score(self, ws: list[str]) -> np.ndarray:
+        """Sum of the scores of some words."""
+        at = np.fromiter(map(self.word.get, ws, repeat(-1)), dtype=np.int64, count=len(ws))
+        unseen = Counter(ws[i] for i in np.flatnonzero(at < 0).tolist())
+        total = self.logs[at[at >= 0]].sum(axis=0)
+        found, starts, often = [], [], []
+        for w, n in unseen.items():
+            if own := self.backoff(w):
+                starts.append(len(found))
+                often.append(n)
+                found += own
+        if found:
+            sums = np.add.reduceat(self.logs[found], starts, axis=0)
+            total += (sums * (np.array(often) / np.diff([*starts, len(found)]))[:, None]).sum(axis=0)
+        return total
 
     def judge(self, text: str | None) -> tuple[str, float]:
         ws = words(text)
         if not ws or not self.langs:
             return "und", 0.0
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-            self.rows.clear()
-        memo = self.memo
-        for w in ws:
-            if w not in memo:
-                v = self.word.get(w)
-                memo[w] = len(self.rows)
-                self.rows.append(self.backoff(w) if v is None else v)
         total = np.zeros(len(self.langs))
-        for w, n in Counter(ws).items():
-            total += n * self.rows[memo[w]]
+        for k in range(0, len(ws), SLICE):
+            total += self.score(ws[k : k + SLICE])
         best = int(total.argmax())
         return self.langs[best], float(1 / np.exp(np.minimum(total - total[best], 0)).sum())
 
