@@ -108,7 +108,7 @@ def binary_metrics(spark, folder):
     """
     select round(sum(pos * (coalesce(below, 0) + 0.5 * neg))::double / nullif(sum(pos) * sum(neg), 0), 6) as roc_auc
     from (select *, sum(neg) over (order by s rows between unbounded preceding and 1 preceding) as below
-      from (select round(p, 6) as s, count(*) filter (where is_correct = 1) as pos,
+      from (select p as s, count(*) filter (where is_correct = 1) as pos,
               count(*) filter (where is_correct = 0) as neg from v_scores group by 1))""",
 )
 def roc_auc(spark, folder):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quizlake.functions import text as T, values as V
+from quizlake.sources.storage import settle
 
 
 def confusion(df: DataFrame, label: str, predicted: Column, *by: str) -> DataFrame:
@@ -25,20 +26,24 @@ def binary_metrics(counts: DataFrame) -> DataFrame:
     return out.withColumn("f1", safe(F.lit(2) * tp, F.lit(2) * tp + fp + fn))
 
 
-def roc_auc(df: DataFrame, label: str, score: str, digits: int = 6) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Rank statistic with ties counted half; 0 when a class is missing.
 
-    Scores are probabilities; rounded to ``digits`` they take at most
-    ``10**digits + 1`` values, so the ordered pass over distinct scores has a
-    fixed bound whatever the number of rows.
+    Exact for any number of distinct scores: these are range-partitioned, each
+    range adds up its own counts, and the totals of the ranges before it come
+    from a table with one row per range.
     """
-    steps = df.groupBy(F.round(score, digits).alias("s")).agg(
+    steps = df.groupBy(F.col(score).alias("s")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    below = F.coalesce(
-        F.sum("neg").over(Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    steps = settle(steps.repartitionByRange("s").withColumn("part", F.spark_partition_id()))
+    before = lambda w: F.coalesce(F.sum("neg").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = steps.groupBy("part").agg(F.sum("neg").alias("neg"))
+    ranges = ranges.select("part", before(Window.orderBy("part")).alias("lower"))
+    inside = steps.withColumn("below", before(Window.partitionBy("part").orderBy("s")))
+    parts = inside.join(ranges, "part").withColumn(
+        "wins", F.col("pos") * (F.col("lower") + F.col("below") + F.col("neg") * 0.5)
     )
-    parts = steps.withColumn("wins", F.col("pos") * (below + F.col("neg") * 0.5))
     return parts.agg(
         F.coalesce(
             F.try_divide(F.sum("wins"), (F.sum("pos") * F.sum("neg")).cast("double")), F.lit(0.0)
