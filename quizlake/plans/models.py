@@ -95,22 +95,26 @@ class CalibratedSvm:
         return out.withColumn(name, clipped).drop(*made)
 
 
-def train_svm_calibrated(train: DataFrame, keys: tuple[str, ...], folds: int = 3, max_iter: int = 20):
+def train_svm_calibrated(train: DataFrame, keys: tuple[str, ...], folds: int = 3, max_iter: int = 5000, curve_rows: int = 200_000):
+    """The curve of a fold is fitted on unrounded margins of at most about
+    ``curve_rows`` of its labelled rows, chosen by a hash (fewer: all)."""
     marked = settle(train.withColumn("_fold", fold(folds, *keys)))
     parts = []
     for i in range(folds):
         rest = marked.where(F.col("_fold") != i)
         svm = LinearSVC(regParam=1.0 / rest.count(), maxIter=max_iter, tol=1e-4).fit(rest)
         margin = F.get(vector_to_array(F.col("rawPrediction")), F.lit(1))
-        held = svm.transform(marked.where(F.col("_fold") == i))
-        # the curve is fitted on margins of three digits with their counts, so
-        # its input stays small however many rows the fold holds
-        curve_rows = (
-            held.select(F.round(margin, 3).alias("margin"), F.col("label").cast("double").alias("y"))
+        held = marked.where(F.col("_fold") == i)
+        n = held.count()
+        if n > curve_rows:
+            held = held.where(F.pmod(F.xxhash64(*keys), F.lit(1_000_000)) < int(1_000_000 * curve_rows / n))
+        known = (
+            svm.transform(held)
+            .select(margin.alias("margin"), F.col("label").cast("double").alias("y"))
             .groupBy("margin")
             .agg(F.avg("y").alias("label"), F.count("*").cast("double").alias("weight"))
         )
-        curve = IsotonicRegression(featuresCol="margin", labelCol="label", weightCol="weight").fit(curve_rows)
+        curve = IsotonicRegression(featuresCol="margin", labelCol="label", weightCol="weight").fit(known)
         parts.append((svm, curve))
     return CalibratedSvm(parts)
 
