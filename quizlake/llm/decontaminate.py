@@ -20,6 +20,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -36,9 +37,13 @@ LEAKS = "array<struct<item_id:long,score:double,first_word:long,last_word:long>>
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def split_words(text: str | None) -> list[str]:
+    return WORD.findall((text or "").lower())
+
+
 def word_hashes(text: str | None) -> np.ndarray:
-    words = WORD.findall((text or "").lower())
-    return np.fromiter(map(HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
+    found = split_words(text)
+    return np.fromiter(map(HASHES.__getitem__, found), dtype=np.uint64, count=len(found))
 
 
 def seeds(words: np.ndarray) -> np.ndarray:
@@ -68,15 +73,20 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
 
 @dataclass
 class Index:
-    """The seeds of a block of items: sorted hashes, and where each occurs."""
+    """The seeds of a block of items: sorted hashes, and where each occurs.
+    ``known`` has the hash of each word of an item; no other word can match, so
+    in a text all others are 0."""
 
     items: list[tuple[int | None, np.ndarray]]
     keys: np.ndarray
     places: list[list[tuple[int, int]]]
+    known: dict[str, int]
 
     @classmethod
-    def of(cls, items: list[tuple[int | None, np.ndarray]], counts: dict[int, int] | None = None) -> Index:
+    def of(cls, texts: list[tuple[int | None, str]], counts: dict[int, int] | None = None) -> Index:
         """All seeds, or, given their counts, those that are rare for their item."""
+        items = [(name, word_hashes(text)) for name, text in texts]
+        known = {w: HASHES[w] for _, text in texts for w in split_words(text)}
         found = defaultdict(list)
         for i, (_, words) in enumerate(items):
             own = [(int(h), p) for p, h in enumerate(seeds(words))]
@@ -87,7 +97,12 @@ class Index:
             for h, p in own:
                 found[h].append((i, p))
         keys = np.array(sorted(found), dtype=np.uint64)
-        return cls(items, keys, [found[int(k)] for k in keys])
+        return cls(items, keys, [found[int(k)] for k in keys], known)
+
+    def read(self, text: str | None) -> np.ndarray:
+        """Hashes of the words of a text, 0 for those of no item."""
+        found = split_words(text)
+        return np.fromiter(map(self.known.get, found, repeat(0)), dtype=np.uint64, count=len(found))
 
     def hits(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places in a text that hold a seed, and which."""
@@ -102,9 +117,9 @@ class Index:
     def leaks(self, text: str | None) -> list[tuple[int | None, float, int, int]]:
         """(item_id, score, first and last word) of the best alignment of each
         item that reaches the threshold."""
-        words = word_hashes(text)
+        read = self.read(text)
         windows = set()
-        for place, which in zip(*self.hits(words), strict=True):
+        for place, which in zip(*self.hits(read), strict=True):
             for item, p in self.places[which]:
                 m = len(self.items[item][1])
                 windows.add((item, (int(place) - p) // m))
@@ -113,7 +128,7 @@ class Index:
             name, wanted = self.items[item]
             m = len(wanted)
             start = max(0, (block - 1) * m)
-            score, end = align(wanted, words[start : (block + 3) * m])
+            score, end = align(wanted, read[start : (block + 3) * m])
             if score >= THRESHOLD * MATCH * m and score > best.get(item, (0,))[0]:
                 best[item] = (score, start + end)
         return [
@@ -122,14 +137,14 @@ class Index:
         ]
 
 
-def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, np.ndarray]]]:
+def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str]]]:
     """Items in blocks of about BLOCK, chosen by a hash."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("i"), F.col("text").alias("x")).distinct()
     rows = rows.filter("x is not null")
     n = -(-rows.count() // BLOCK)
     for b in range(n):
         part = rows.filter(F.pmod(F.xxhash64("i", "x"), F.lit(n)) == b).collect()
-        yield [(r["i"], word_hashes(r["x"])) for r in sorted(part, key=lambda r: (r["i"] is None, r["i"], r["x"]))]
+        yield [(r["i"], r["x"]) for r in sorted(part, key=lambda r: (r["i"] is None, r["i"], r["x"]))]
 
 
 def seed_counts(docs: DataFrame, index: Index) -> dict[int, int]:
@@ -140,7 +155,7 @@ def seed_counts(docs: DataFrame, index: Index) -> dict[int, int]:
         total = np.zeros(len(shared.value.keys), np.int64)
         for frame in frames:
             for text in frame["x"]:
-                _, which = shared.value.hits(word_hashes(text if isinstance(text, str) else None))
+                _, which = shared.value.hits(shared.value.read(text if isinstance(text, str) else None))
                 total += np.bincount(which, minlength=len(total))
         at = np.flatnonzero(total)
         yield pd.DataFrame({"k": at, "n": total[at]})
