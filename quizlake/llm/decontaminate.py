@@ -1,13 +1,16 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Words are runs of letters or digits, lower-cased.  Every run of SEED words of a
-test item is a possible seed.  A first pass over the documents counts them, and
-each item keeps the seeds that are rare for it: those counted at most COMMON times
-as often as its median seed.  So phrases that stand everywhere join nothing while
-a passage that leaked everywhere still does, and at least half of the seeds stay.
-A second pass looks up the kept seeds, lines the item up with the passage around
-each seed and scores it by Smith-Waterman over words (match 2, else and gap -1).
-The score is the share of the best possible one; THRESHOLD and more is a leak.
+test item is a seed, however often it occurs, so a leak is found in as many
+documents as hold it.  The item is lined up with the passage around each seed and
+scored by Smith-Waterman over words (match 2, else and gap -1).  The score is the
+share of the best possible one; THRESHOLD and more is a leak.
+
+Phrases that stand everywhere give many passages but few alignments: a passage is
+aligned only if the words and pairs of words that it shares with the item allow
+the threshold.  With M words matched in R runs there are R - 1 errors or more and
+M - R matched pairs, so M words and B pairs bound the score by 2 M - (M - B - 1)
+and by 2 M; no alignment that reaches the threshold is left out.
 
 Items are a query set: they are taken in blocks of about BLOCK items, and only
 one block is broadcast at a time.  Documents are read whole and never shuffled.
@@ -27,9 +30,9 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from quizlake.llm.common import HASHES, fresh
+from quizlake.llm.common import fresh
 
-SEED, COMMON, THRESHOLD = 3, 8, 0.5
+SEED, THRESHOLD = 3, 0.5
 MATCH, MISS = 2, -1
 BLOCK = 5_000
 WORD = regex.compile(r"[\p{L}\p{N}]+")
@@ -41,16 +44,11 @@ def split_words(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    found = split_words(text)
-    return np.fromiter(map(HASHES.__getitem__, found), dtype=np.uint64, count=len(found))
-
-
-def seeds(words: np.ndarray) -> np.ndarray:
-    """Hash of the run of SEED words at each place."""
-    h = np.zeros(max(0, len(words) - SEED + 1), np.uint64)
+def seeds(words: np.ndarray, n: int = SEED) -> np.ndarray:
+    """Hash of the run of ``n`` words at each place."""
+    h = np.zeros(max(0, len(words) - n + 1), np.uint64)
     with np.errstate(over="ignore"):
-        for k in range(SEED):
+        for k in range(n):
             h = (h ^ words[k : k + len(h)]) * _MIX
             h ^= h >> np.uint64(31)
     return h
@@ -71,64 +69,93 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def best_possible(words: int, pairs: int) -> int:
+    """The most that an alignment of so many shared words and pairs can score."""
+    return MATCH * words + MISS * max(0, words - pairs - 1)
+
+
 @dataclass
 class Index:
-    """The seeds of a block of items: sorted hashes, and where each occurs.
-    ``known`` has the hash of each word of an item; no other word can match, so
-    in a text all others are 0."""
+    """The seeds of a block of items: sorted hashes, and where each occurs (item
+    and place, from ``first[k]`` on).  ``known`` numbers the words of the items
+    from 1; no other word can match, so in a text all others are 0.  Pairs of
+    words are numbered like this too."""
 
-    items: list[tuple[int | None, np.ndarray]]
+    items: list[tuple[int | None, np.ndarray, np.ndarray]]
+    sizes: np.ndarray
     keys: np.ndarray
-    places: list[list[tuple[int, int]]]
+    first: np.ndarray
+    places: np.ndarray
     known: dict[str, int]
+    pairs: np.ndarray
 
     @classmethod
-    def of(cls, texts: list[tuple[int | None, str]], counts: dict[int, int] | None = None) -> Index:
-        """All seeds, or, given their counts, those that are rare for their item."""
-        items = [(name, word_hashes(text)) for name, text in texts]
-        known = {w: HASHES[w] for _, text in texts for w in split_words(text)}
+    def of(cls, texts: list[tuple[int | None, str]]) -> Index:
+        known = {}
+        for _, text in texts:
+            for w in split_words(text):
+                known.setdefault(w, len(known) + 1)
+        words = [np.array([known[w] for w in split_words(text)], dtype=np.uint64) for _, text in texts]
+        pairs = np.unique(np.concatenate([seeds(w, 2) for w in words] or [np.zeros(0, np.uint64)]))
+        items = [
+            (name, w, np.searchsorted(pairs, seeds(w, 2)) + 1) for (name, _), w in zip(texts, words, strict=True)
+        ]
         found = defaultdict(list)
-        for i, (_, words) in enumerate(items):
-            own = [(int(h), p) for p, h in enumerate(seeds(words))]
-            if counts is not None:
-                often = [counts.get(h, 0) for h, _ in own]
-                most = COMMON * max(1, sorted(often)[len(often) // 2] if often else 0)
-                own = [x for x, n in zip(own, often, strict=True) if n <= most]
-            for h, p in own:
+        for i, w in enumerate(words):
+            for p, h in enumerate(seeds(w).tolist()):
                 found[h].append((i, p))
-        keys = np.array(sorted(found), dtype=np.uint64)
-        return cls(items, keys, [found[int(k)] for k in keys], known)
+        keys = sorted(found)
+        first = np.cumsum([0, *(len(found[k]) for k in keys)])
+        places = np.array([x for k in keys for x in found[k]], dtype=np.int64).reshape(-1, 2)
+        sizes = np.array([len(w) for w in words], dtype=np.int64)
+        return cls(items, sizes, np.array(keys, dtype=np.uint64), first, places, known, pairs)
 
     def read(self, text: str | None) -> np.ndarray:
-        """Hashes of the words of a text, 0 for those of no item."""
+        """Numbers of the words of a text, 0 for those of no item."""
         found = split_words(text)
         return np.fromiter(map(self.known.get, found, repeat(0)), dtype=np.uint64, count=len(found))
 
     def hits(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places in a text that hold a seed, and which."""
-        h = seeds(words)
-        if not len(self.keys) or not len(h):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at = np.searchsorted(self.keys, h)
-        at[at == len(self.keys)] = 0
-        place = np.flatnonzero(self.keys[at] == h)
-        return place, at[place]
+        return _among(self.keys, seeds(words))
+
+    def windows(self, words: np.ndarray) -> list[tuple[int, int]]:
+        """(item, start) of the passages around the seeds, each once."""
+        place, which = self.hits(words)
+        if not len(place):
+            return []
+        many = self.first[which + 1] - self.first[which]
+        at = np.arange(many.sum()) + np.repeat(self.first[which] - np.cumsum(many) + many, many)
+        item, p = self.places[at].T
+        size = self.sizes[item]
+        block = (np.repeat(place, many) - p) // size
+        found = np.unique(np.stack([item, np.maximum(0, (block - 1) * size), (block + 3) * size]), axis=1)
+        return list(zip(*found.tolist(), strict=True))
 
     def leaks(self, text: str | None) -> list[tuple[int | None, float, int, int]]:
         """(item_id, score, first and last word) of the best alignment of each
         item that reaches the threshold."""
         read = self.read(text)
-        windows = set()
-        for place, which in zip(*self.hits(read), strict=True):
-            for item, p in self.places[which]:
-                m = len(self.items[item][1])
-                windows.add((item, (int(place) - p) // m))
+        windows = self.windows(read)
+        if not windows:
+            return []
+        pair = np.zeros(len(read), np.int64)
+        place, which = _among(self.pairs, seeds(read, 2))
+        pair[place] = which + 1
+        has_word, has_pair = np.zeros(len(self.known) + 1, bool), np.zeros(len(self.pairs) + 1, bool)
         best = {}
-        for item, block in sorted(windows):
-            name, wanted = self.items[item]
+        for item, start, stop in windows:
+            name, wanted, both = self.items[item]
             m = len(wanted)
-            start = max(0, (block - 1) * m)
-            score, end = align(wanted, read[start : (block + 3) * m])
+            passage = read[start:stop]
+            near, near_pair = passage.astype(np.int64), pair[start : start + len(passage) - 1]
+            has_word[near], has_pair[near_pair] = True, True
+            has_word[0] = has_pair[0] = False
+            most = best_possible(int(has_word[wanted].sum()), int(has_pair[both].sum()))
+            has_word[near], has_pair[near_pair] = False, False
+            if most < THRESHOLD * MATCH * m:
+                continue
+            score, end = align(wanted, passage)
             if score >= THRESHOLD * MATCH * m and score > best.get(item, (0,))[0]:
                 best[item] = (score, start + end)
         return [
@@ -137,6 +164,16 @@ class Index:
         ]
 
 
+def _among(keys: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``h`` whose value is one of the sorted ``keys``, and which."""
+    if not len(keys) or not len(h):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.searchsorted(keys, h)
+    at[at == len(keys)] = 0
+    place = np.flatnonzero(keys[at] == h)
+    return place, at[place]
+
+
 def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str]]]:
     """Items in blocks of about BLOCK, chosen by a hash."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("i"), F.col("text").alias("x")).distinct()
@@ -147,24 +184,6 @@ def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str]]]:
         yield [(r["i"], r["x"]) for r in sorted(part, key=lambda r: (r["i"] is None, r["i"], r["x"]))]
 
 
-def seed_counts(docs: DataFrame, index: Index) -> dict[int, int]:
-    """How often each seed of a block occurs in all documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(len(shared.value.keys), np.int64)
-        for frame in frames:
-            for text in frame["x"]:
-                _, which = shared.value.hits(shared.value.read(text if isinstance(text, str) else None))
-                total += np.bincount(which, minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pd.DataFrame({"k": at, "n": total[at]})
-
-    found = docs.select(F.col("text").alias("x")).mapInPandas(run, "k long, n long")
-    rows = found.groupBy("k").agg(F.sum("n").alias("n")).collect()
-    return {int(index.keys[r["k"]]): r["n"] for r in rows}
-
-
 def leak_finder(shared):
     """The leaks of texts against one broadcast block, as a column function."""
     names = ("item_id", "score", "first_word", "last_word")
@@ -181,9 +200,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, out: str = "leaks") -> Dat
     """``docs`` with an array column of its leaks (item_id, score, words)."""
     parts = []
     for items in blocks(benchmark):
-        counts = seed_counts(docs, Index.of(items))
-        shared = docs.sparkSession.sparkContext.broadcast(Index.of(items, counts))
-
+        shared = docs.sparkSession.sparkContext.broadcast(Index.of(items))
         parts.append(leak_finder(shared)("text"))
     empty = F.array().cast(LEAKS)
     return docs.withColumn(out, F.concat(empty, *parts) if parts else empty)
