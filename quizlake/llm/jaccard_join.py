@@ -19,7 +19,9 @@ they count as links of each other and go on as one representative with a count.
    returns one row per member (number of links, root of its links), never pairs.
 
 Links between different texts are all counted, however large a group is; the
-class of a document is the component of the links, named by its smallest doc_id.
+class of a document is the component of the links, keyed by its smallest node.
+It is shown as its smallest doc_id (nulls aside); classes that have none, or the
+same one as another class, are shown as a negative number made from their key.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from quizlake.llm.common import HASHES, fresh, identity
+from quizlake.llm.common import HASHES, NO_ID, fresh, identity
 from quizlake.llm.graph import components
 from quizlake.sources.storage import settle
 
@@ -177,12 +179,14 @@ def unit_links(unit: pd.DataFrame, p: int, q: int) -> list[tuple[str, str, int]]
     return [(names[i], names[find(i)], links[i]) for i in range(len(names)) if links[i]]
 
 
-def jaccard_classes(docs: DataFrame) -> DataFrame:
-    """(d, t, class_id, n_links) of every distinct document (id and text); a class
-    id is the smallest d of the class, n_links counts its other linked rows."""
+def linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(d, t, node, bands) of every row, and (node, root, known, n_links) of every
+    set: root is the key of its class, known its smallest doc_id that is not null,
+    n_links counts the other linked rows of a row with this set."""
     made = settle(sets(docs))
     groups = settle(made.filter("node is not null").groupBy("node").agg(
-        F.count("*").alias("copies"), F.min(F.struct("d", "t")).alias("first"), F.first("bands").alias("bands")))
+        F.count("*").alias("copies"), F.min(F.struct("d", "t")).alias("first"),
+        F.min(F.nullif("d", F.lit(NO_ID))).alias("known"), F.first("bands").alias("bands")))
     in_band = groups.select("node", F.explode("bands").alias("band"))
     star = in_band.groupBy("band").agg(F.min("node").alias("u"), F.max("node").alias("z")).filter("u != z")
     edges = in_band.join(star.select("band", "u"), "band").select("u", F.col("node").alias("v")).filter("u != v").distinct()
@@ -200,13 +204,32 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     linked = components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     named = (
-        groups.select("node", "copies", F.col("first.d").alias("d"))
+        groups.select("node", "copies", "known")
         .join(linked, "node", "left")
         .join(links, "node", "left")
-        .withColumn("root", F.coalesce("root", "node"))
+        .select(
+            "node", F.coalesce("root", "node").alias("root"), "known",
+            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        )
     )
-    classes = named.groupBy("root").agg(F.min("d").alias("class_id"))
-    by_set = named.join(classes, "root").select("node", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    return made, named
+
+
+def class_names(named: DataFrame) -> DataFrame:
+    """(root, class_id): no two classes share a class_id."""
+    own = F.xxhash64("root").bitwiseOR(F.lit(NO_ID))
+    classes = settle(named.groupBy("root").agg(F.min("known").alias("known")).select(
+        "root", F.coalesce("known", own).alias("class_id")))
+    shared = classes.groupBy("class_id").agg(F.count("*").alias("n")).filter("n > 1")
+    return classes.join(shared, "class_id", "left").select(
+        "root", F.when(F.col("n").isNull(), F.col("class_id")).otherwise(own).alias("class_id"))
+
+
+def jaccard_classes(docs: DataFrame) -> DataFrame:
+    """(d, t, class_id, n_links) of every row; n_links counts its other linked
+    rows.  A document without a word has its own d for a class_id."""
+    made, named = linked_sets(docs)
+    by_set = named.join(class_names(named), "root").select("node", "class_id", "n_links")
     return made.select("d", "t", "node").join(by_set, "node", "left").select(
         "d", "t", F.coalesce("class_id", "d").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
@@ -215,11 +238,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose document is the first of its class: the smallest
     (doc_id, hash of the text); of rows equal in both, all stay.  Documents
     without a word stay.  Columns as they were."""
-    classes = settle(jaccard_classes(docs).groupBy("class_id", "d", "t").agg(F.min("n_links").alias("n")))
-    first = classes.filter("n > 0").groupBy("class_id").agg(F.min(F.struct("d", "t")).alias("f"))
-    later = (
-        classes.filter("n > 0").join(first, "class_id").filter(F.struct("d", "t") != F.col("f")).select("d", "t")
-    )
+    made, named = linked_sets(docs)
+    linked = named.filter("n_links > 0").select("node", "root")
+    classes = settle(made.select("d", "t", "node").join(linked, "node").select("root", "d", "t").distinct())
+    first = classes.groupBy("root").agg(F.min(F.struct("d", "t")).alias("f"))
+    later = classes.join(first, "root").filter(F.struct("d", "t") != F.col("f")).select("d", "t")
     d, t = (fresh(c, docs.columns) for c in ("d", "t"))
     id_, hash_ = identity(docs["doc_id"], docs["text"])
     gone = later.select(F.col("d").alias(d), F.col("t").alias(t))

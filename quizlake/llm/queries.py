@@ -60,7 +60,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return jaccard_join.jaccard_classes(docs).select(
-        F.nullif("d", F.lit(NO_ID)).alias("doc_id"), "class_id", "n_links")
+        F.nullif("d", F.lit(NO_ID)).alias("doc_id"), F.nullif("class_id", F.lit(NO_ID)).alias("class_id"), "n_links")
 
 
 @query("op4_benchmark_decontamination")

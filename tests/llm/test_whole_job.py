@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from quizlake.llm import decontaminate
+from quizlake.llm import decontaminate, jaccard_join
 
 
 @pytest.mark.parametrize("n", [7, 9, 1000])
@@ -52,3 +52,34 @@ def test_windows_are_those_of_every_seed():
                     block = (place - p) // len(own)
                     want.add((i, max(0, (block - 1) * len(own)), (block + 3) * len(own)))
     assert set(index.windows(read)) == want
+
+
+def near_copies(name: str, n: int) -> list[str]:
+    words = [f"{name}{k}" for k in range(60)]
+    return [" ".join([*words, f"{name}end{k}"]) for k in range(n)]
+
+
+def test_classes_that_share_ids_stay_apart(spark, tmp_path):
+    from quizlake.llm import queries
+
+    rows = [(None, x) for name in ("a", "b") for x in near_copies(name, 3)]
+    rows += [(i, x) for name in ("c", "d") for i, x in enumerate(near_copies(name, 2), 5)]
+    rows += [(i, x) for i, x in zip([None, 9, 8], near_copies("e", 3), strict=True)]
+    rows += [(None, "f0 f1"), (None, None), (20, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    kept = jaccard_join.one_of_each(docs).select("text").collect()
+    assert sorted((r["text"] or "")[:1] for r in kept) == ["", "", "a", "b", "c", "d", "e", "f"]
+    got = queries.QUERIES["op8_ngram_jaccard_join"](spark, str(tmp_path)).collect()
+    shown = {}
+    for r in got:
+        shown.setdefault(r["class_id"], []).append((r["doc_id"], r["n_links"]))
+    by_size = lambda x: (len(x), str(x))
+    assert sorted(map(sorted_rows, shown.values()), key=by_size) == sorted(map(sorted_rows, [
+        [(None, 2)] * 3, [(None, 2)] * 3, [(5, 1), (6, 1)], [(5, 1), (6, 1)], [(None, 2), (9, 2), (8, 2)],
+        [(None, 0)], [(None, 0)], [(20, 0)]]), key=by_size)
+    assert sorted_rows(shown[8]) == sorted_rows([(None, 2), (8, 2), (9, 2)]) and shown[20] == [(20, 0)] and -(2**63) not in shown
+
+
+def sorted_rows(rows):
+    return sorted(rows, key=str)
