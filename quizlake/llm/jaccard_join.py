@@ -14,9 +14,11 @@ they count as links of each other and go on as one representative with a count.
    with m equal, under a uniform prior, the similarity reaches the threshold with
    probability P(Binomial(n + 1, 0.8) <= m); below TOLERANCE the pair is dropped.
    What is left is verified exactly on the sets.
-3. Groups of more than BLOCK members are split into blocks, and each pair of
-   blocks is a unit of its own, so no task holds more than two blocks.  A unit
-   returns one row per member (number of links, root of its links), never pairs.
+3. Groups of more than BLOCK members are split by a hash into blocks of about
+   BLOCK, and each pair of blocks is a unit that is worked on alone, so never more
+   than two blocks are held at once.  Smaller groups are packed into bins of about
+   BIN members.  A unit returns one row per member (number of links, root of its
+   links), never pairs.
 
 Links between different texts are all counted, however large a group is; the
 class of a document is the component of the links, keyed by its smallest node.
@@ -129,17 +131,26 @@ def sets(docs: DataFrame) -> DataFrame:
     return rows.mapInPandas(run, "d long, t long, node string, bands array<long>")
 
 
-def verified(members: DataFrame) -> DataFrame:
-    """(node, root, links) for each member (node, copies, x, grp, size) and unit."""
+def dealt(members: DataFrame) -> DataFrame:
+    """The members with their block ``own``, once for each unit (grp, p, q) that
+    holds it.  ``pack`` and ``bin`` say which rows are worked on together: the
+    units of a group of several blocks each alone, smaller groups in bins."""
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     units = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    small = F.col("size") <= BLOCK
+    n = members.filter(small).count() // BIN + 1
     units = units.select(
         "node", "copies", "x", "grp", "own",
         F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
+        F.when(~small, F.col("grp")).alias("pack"), small.alias("small"),
     )
-    n = max(1, members.count() // BIN + 1)
-    packed = units.withColumn("bin", F.pmod(F.xxhash64("grp", "p", "q"), F.lit(n)).cast("int"))
+    bin_ = F.when(F.col("small"), F.pmod(F.xxhash64("grp"), F.lit(n)))
+    return units.withColumn("bin", bin_.cast("int")).drop("small")
+
+
+def verified(members: DataFrame) -> DataFrame:
+    """(node, root, links) for each member (node, copies, x, grp, size) and unit."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         rows = []
@@ -147,7 +158,7 @@ def verified(members: DataFrame) -> DataFrame:
             rows += unit_links(unit, p, q)
         return pd.DataFrame(rows, columns=["node", "root", "links"])
 
-    return packed.groupBy("bin").applyInPandas(run, "node string, root string, links long")
+    return dealt(members).groupBy("pack", "bin", "p", "q").applyInPandas(run, "node string, root string, links long")
 
 
 def unit_links(unit: pd.DataFrame, p: int, q: int) -> list[tuple[str, str, int]]:

@@ -3,7 +3,9 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import GroupedData
 
 from quizlake.llm import decontaminate, jaccard_join
 
@@ -83,3 +85,22 @@ def test_classes_that_share_ids_stay_apart(spark, tmp_path):
 
 def sorted_rows(rows):
     return sorted(rows, key=str)
+
+
+def test_no_more_than_two_blocks_are_held_at_once(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", 50)
+    monkeypatch.setattr(jaccard_join, "BIN", 100)
+    held = []
+    apply = GroupedData.applyInPandas
+
+    def spy(grouped, run, schema):
+        sizes = apply(grouped, lambda frame: pd.DataFrame({"n": [len(frame)]}), "n long")
+        held.extend(r["n"] for r in sizes.collect())
+        return apply(grouped, run, schema)
+
+    monkeypatch.setattr(GroupedData, "applyInPandas", spy)
+    rows = [(f"big{k}", 1, f"t{k}", "big", 1000) for k in range(1000)]
+    rows += [(f"g{k}m{j}", 1, f"g{k} t{j}", f"g{k}", 2) for k in range(100) for j in range(2)]
+    members = spark.createDataFrame(rows, "node string, copies long, x string, grp string, size long")
+    jaccard_join.verified(members)
+    assert sum(held) == 1000 * 20 + 200 and max(held) < 200
