@@ -190,6 +190,11 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose score is below ``threshold``, columns as they were."""
+    """The rows of ``docs`` whose score is below ``threshold``, columns as they were.
+    Where nothing was learned (no document outside the held-out fold has a usable
+    label: no weights, bias 0), no row is judged and all stay."""
     out = fresh("score", docs.columns)
-    return score(docs, learn(docs, labels), out=out).filter(F.col(out) < threshold).drop(out)
+    model = learn(docs, labels)
+    if not len(model[0]) and model[2] == 0:
+        return docs
+    return score(docs, model, out=out).filter(F.col(out) < threshold).drop(out)

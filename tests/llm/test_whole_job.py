@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import GroupedData
 
-from quizlake.llm import decontaminate, jaccard_join
+from quizlake.llm import decontaminate, jaccard_join, toxicity
 
 
 @pytest.mark.parametrize("n", [7, 9, 1000])
@@ -104,3 +104,10 @@ def test_no_more_than_two_blocks_are_held_at_once(spark, monkeypatch):
     members = spark.createDataFrame(rows, "node string, copies long, x string, grp string, size long")
     jaccard_join.verified(members)
     assert sum(held) == 1000 * 20 + 200 and max(held) < 200
+
+
+def test_without_labels_all_documents_stay(spark, odd_docs):
+    labels = spark.createDataFrame([(1, 1, None), (10**9, 1, 1)], "doc_id long, quality int, toxic int")
+    for usable in (labels.limit(0), labels):
+        kept = toxicity.keep_clean(odd_docs, usable)
+        assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count()
