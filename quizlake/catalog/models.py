@@ -12,9 +12,6 @@ from quizlake.operators import corpus as K, features as X, metrics as M
 from quizlake.plans import model_quizzes as MQ, models as ML
 from quizlake.sources import storage, tables as S
 
-# forests of the registered runs; the functions default to the full sizes
-TREES, DEPTH = 40, 10
-
 
 def _train_rows(spark, folder):
     rows, _, _ = storage.once(
@@ -41,7 +38,7 @@ def train_svm_calibrated(spark, folder):
 @query("train_rf")
 def train_rf(spark, folder):
     train, test = _train_rows(spark, folder)
-    return ML.model_report(ML.probability(ML.train_rf(train, TREES, DEPTH), test, "p_rf"))
+    return ML.model_report(ML.probability(ML.train_rf(train), test, "p_rf"))
 
 
 @query(
@@ -69,7 +66,7 @@ def train_nb(spark, folder):
 
 def trained_verifier(spark, folder):
     return storage.once(
-        spark, "verifier", folder, lambda: ML.train_verifier(usable(spark, folder), TREES, DEPTH)
+        spark, "verifier", folder, lambda: ML.train_verifier(usable(spark, folder))
     )
 
 
@@ -122,7 +119,7 @@ def _trained_ranker(spark, folder):
     rows = ranker_rows(spark, folder).join(article, "group_id")
     keep = ["group_id", "article_id", "candidate_index", "template", "target", "label"]
     rows = storage.settle(rows.select(*keep, *V.RANKER_FEATURES))
-    return ML.train_ranker(rows, TREES, DEPTH)
+    return ML.train_ranker(rows)
 
 
 @query("train_ranker")
@@ -146,7 +143,7 @@ def feature_importance(spark, folder):
 
 @query("train_distractor_ranker")
 def train_distractor_ranker(spark, folder):
-    _, _, scored = ML.train_distractor_ranker(X.distractor_training_rows(usable(spark, folder)), TREES, DEPTH)
+    _, _, scored = ML.train_distractor_ranker(X.distractor_training_rows(usable(spark, folder)))
     return ML.model_report(scored)
 
 
@@ -156,7 +153,7 @@ def write_models(spark, folder):
     from pyspark.ml.classification import RandomForestClassificationModel
 
     rows = storage.settle(X.distractor_training_rows(usable(spark, folder)))
-    forest, _, scored = ML.train_distractor_ranker(rows, TREES, DEPTH)
+    forest, _, scored = ML.train_distractor_ranker(rows)
     path = storage.new_folder(spark, "models")
     forest.write().overwrite().save(f"{path}/distractor_ranker")
     K.vocabulary(K.question_documents(usable(spark, folder))).write.parquet(f"{path}/vocabulary")
@@ -192,7 +189,7 @@ def build_quizzes(spark, folder):
     rows = usable(spark, folder)
     verifier, _ = trained_verifier(spark, folder)
     ranker, _ = _ranker(spark, folder)
-    forest, _, _ = ML.train_distractor_ranker(X.distractor_training_rows(rows), TREES, DEPTH)
+    forest, _, _ = ML.train_distractor_ranker(X.distractor_training_rows(rows))
     quizzes = MQ.build_quizzes(S.passages(spark, folder), K.corpus_records(rows), verifier, ranker, forest)
     return quizzes.select(
         "doc_id",

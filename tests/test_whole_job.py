@@ -1,0 +1,19 @@
+"""Registered runs and operators work on the whole job, not on a part of it."""
+
+from pyspark.ml.classification import RandomForestClassifier
+
+from quizlake.catalog import QUERIES
+
+
+def test_registered_forests_have_the_full_sizes(spark, folder, monkeypatch):
+    seen = []
+    fit = RandomForestClassifier.fit
+
+    def small(forest, rows, params=None):
+        seen.append((forest.getNumTrees(), forest.getMaxDepth()))
+        return fit(forest.copy().setNumTrees(2).setMaxDepth(2), rows)
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", small)
+    for name in ("train_rf", "train_ranker", "train_distractor_ranker"):
+        QUERIES[name](spark, folder)
+    assert seen == [(300, 15), (400, 14), (150, 12)]
