@@ -158,8 +158,14 @@ def balance_classes(df: DataFrame, label: str, seed: int, *keys: str) -> DataFra
     )
 
 
-def seq2seq_rows(df: DataFrame, n: int, seed: int) -> DataFrame:
-    picked = sample_rows(df.where(starts_with_wh(F.col("question"))), n, seed, "row_id")
+def seq2seq_rows(df: DataFrame, n: int | None = None, seed: int = 42) -> DataFrame:
+    """Training pairs of all Wh questions, or of ``n`` of them chosen by hash order.
+    Only the keys are ranked; the texts stay where they are.  Rows that share the
+    last chosen key all stay."""
+    picked = df.where(starts_with_wh(F.col("question")))
+    if n is not None:
+        keys = sample_rows(picked.select("row_id"), n, seed, "row_id").select(F.col("row_id").alias("_k"))
+        picked = picked.join(keys, F.col("row_id").eqNullSafe(F.col("_k")), "left_semi")
     return picked.select(
         "row_id",
         F.concat(

@@ -3,6 +3,7 @@
 from pyspark.ml.classification import RandomForestClassifier
 
 from quizlake.catalog import QUERIES
+from quizlake.operators import reshape as R
 
 
 def test_registered_forests_have_the_full_sizes(spark, folder, monkeypatch):
@@ -17,3 +18,12 @@ def test_registered_forests_have_the_full_sizes(spark, folder, monkeypatch):
     for name in ("train_rf", "train_ranker", "train_distractor_ranker"):
         QUERIES[name](spark, folder)
     assert seen == [(300, 15), (400, 14), (150, 12)]
+
+
+def test_all_training_pairs_by_default(spark):
+    rows = [(str(i), "A text.", "Where is it?" if i % 2 else "It is?", "here") for i in range(41_000)]
+    df = spark.createDataFrame(rows, "row_id string, article string, question string, correct_answer string")
+    assert R.seq2seq_rows(df).count() == 20_500
+    few = [r["row_id"] for r in R.seq2seq_rows(df, 100, 42).collect()]
+    wanted = R.sample_rows(df.where("question like 'W%'"), 100, 42, "row_id").collect()
+    assert sorted(few) == sorted(r["row_id"] for r in wanted)
