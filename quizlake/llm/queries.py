@@ -7,7 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quizlake.llm import bpe, chat_format, decontaminate, jaccard_join, language_id, line_dedup, quality_rules, suffix_dedup, toxicity, url_filters
+from quizlake.llm import (
+    bpe, chat_format, decontaminate, jaccard_join, language_id, line_dedup, packing, quality_rules, spelling, suffix_dedup, toxicity,
+    url_filters, whitening,
+)
 from quizlake.llm.common import NO_ID, spread, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +97,19 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     return language_id.language_id(docs)
+
+
+@query("op11_packing")
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return packing.pack_texts(docs, "doc_id", "text", tokenizer_file("byte_bpe_50k.tiktoken"), {"<|endoftext|>": 50256})
+
+
+@query("op12_embedding_whitening")
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "vec_id", "embedding")
+
+
+@query("op13_spelling_variants", spelling.SQL)
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.grouped(table(spark, sf_dir, "documents").select("doc_id", "text"))
