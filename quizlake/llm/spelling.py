@@ -270,17 +270,18 @@ def halves(word: Column, head: Column) -> Column:
 
 def dealt(words: DataFrame) -> DataFrame:
     """(word, n, head, asks, holds, pack, block): the rows of each unit (pack,
-    block); ``holds`` marks words of the index, ``asks`` queries."""
+    block); ``holds`` marks words of the index, ``asks`` queries.  Keys of more
+    than UNIT words are few, so Spark sees a small table and need not sort."""
     side = F.explode(F.array(F.lit(True), F.lit(False)))
     rows = words.select("word", "n", side.alias("head"))
     short = F.when(F.col("head"), F.substring("word", 1, HEAD)).otherwise(F.right("word", F.lit(TAIL)))
     rows = settle(rows.select("*", F.concat(F.when(F.col("head"), F.lit("<")).otherwise(F.lit(">")), short).alias("key")))
     sizes = lambda df: df.groupBy("key").agg(F.count("*").alias("size")).filter(F.col("size") > UNIT)
-    large = sizes(rows)
+    large = settle(sizes(rows))
     marked = rows.join(large, "key", "left")
     fine = marked.filter("size is not null").select("word", "n", "head", F.inline(halves(F.col("word"), F.col("head"))))
     fine = settle(fine.select("word", "n", "head", F.concat(F.lit("="), "key").alias("key"), "asks"))
-    hot = sizes(fine)
+    hot = settle(sizes(fine))
     every = marked.filter("size is null").select("word", "n", "head", "key", F.lit(True).alias("asks"), F.lit(None).cast("long").alias("size"))
     every = every.unionByName(fine.join(hot, "key", "left").select(*every.columns))
     blocks = F.ceil(F.coalesce("size", F.lit(1)) / UNIT).cast("int")
@@ -289,7 +290,8 @@ def dealt(words: DataFrame) -> DataFrame:
     units = units.withColumn("block", F.explode(visited))
     packs = rows.count() // UNIT + 1
     pack = F.when(F.col("size").isNull(), F.pmod(F.xxhash64("key"), F.lit(packs)).cast("string")).otherwise(F.col("key"))
-    return units.select("word", "n", "head", "asks", (F.col("own") == F.col("block")).alias("holds"), pack.alias("pack"), "block")
+    units = units.select("word", "n", "head", "asks", (F.col("own") == F.col("block")).alias("holds"), pack.alias("pack"), "block")
+    return units.repartition(packs, "pack", "block")
 
 
 def answers(unit: pd.DataFrame) -> pd.DataFrame:
