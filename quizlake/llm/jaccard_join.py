@@ -8,8 +8,9 @@ they count as links of each other and go on as one representative with a count.
 
 1. 200 MinHash values of each set; 40 bands of 5 find candidates: a pair at the
    threshold is missed with probability (1 - 0.8^5)^40 = 1.2e-7, at 0.85 with
-   6e-11.  Buckets are not expanded into pairs: each names its smallest member,
-   and the components of these stars are groups that no candidate pair leaves.
+   6e-11.  Buckets are not expanded into pairs: the components of texts that share
+   buckets are groups that no candidate pair leaves.  They are found with one edge
+   a text and round, and buckets of the same texts count once.
 2. Within a group, MinHash values are compared 20 at a time.  After n of them
    with m equal, under a uniform prior, the similarity reaches the threshold with
    probability P(Binomial(n + 1, 0.8) <= m); below TOLERANCE the pair is dropped.
@@ -37,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from quizlake.llm.common import HASHES, NO_ID, fresh, identity
-from quizlake.llm.graph import components
+from quizlake.llm.graph import connected
 from quizlake.sources.storage import settle
 
 WORDS, THRESHOLD = 5, 0.8
@@ -198,10 +199,7 @@ def linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     groups = settle(made.filter("node is not null").groupBy("node").agg(
         F.count("*").alias("copies"), F.min(F.struct("d", "t")).alias("first"),
         F.min(F.nullif("d", F.lit(NO_ID))).alias("known"), F.first("bands").alias("bands")))
-    in_band = groups.select("node", F.explode("bands").alias("band"))
-    star = in_band.groupBy("band").agg(F.min("node").alias("u"), F.max("node").alias("z")).filter("u != z")
-    edges = in_band.join(star.select("band", "u"), "band").select("u", F.col("node").alias("v")).filter("u != v").distinct()
-    group = components(settle(edges))
+    group = connected(groups.select("node", F.explode("bands").alias("key")))
     sizes = group.groupBy("root").agg(F.count("*").alias("size"))
     chosen = (
         groups.select("node", "copies", "first.d", "first.t")
@@ -212,7 +210,7 @@ def linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = docs.select(*identity(F.col("doc_id"), F.col("text")), F.col("text").alias("x"))
     members = settle(texts.join(chosen, ["d", "t"]).dropDuplicates(["node"]).drop("d", "t"))
     found = settle(verified(members))
-    linked = components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
+    linked = connected(found.select("node", F.col("root").alias("key")))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     named = (
         groups.select("node", "copies", "known")
