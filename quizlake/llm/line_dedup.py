@@ -150,9 +150,10 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "tex
     return later.groupBy("d", "t").agg(F.collect_set("i").alias("gone"))
 
 
-def cleaned(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def cleaned(docs: DataFrame, min_words: int = MIN_WORDS, n_lines: str = "n_lines", n_removed: str = "n_removed") -> DataFrame:
     """All rows and columns of ``docs`` with ``text`` without its repeated lines,
-    and two more columns, n_lines and n_removed (lines with a word; 0 for null)."""
+    and two more columns, how many lines with a word there were and how many are
+    removed (0 for null); they replace columns of these names."""
     d, t, gone, at = (fresh(c, docs.columns) for c in ("d", "t", "gone", "at"))
     found = repeated_lines(docs, min_words).select(F.col("d").alias(d), F.col("t").alias(t), F.col("gone").alias(gone))
     id_, hash_ = identity(docs["doc_id"], docs["text"])
@@ -162,10 +163,10 @@ def cleaned(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     kept = let(parts, lambda p: F.transform(staying, lambda i: F.get(p, i)))
     holds_word = F.size(F.filter(parts, lambda x: x.rlike(WORD)))
     return rows.select(
-        *[c for c in docs.columns if c not in ("text", "n_lines", "n_removed")],
+        *[c for c in docs.columns if c not in ("text", n_lines, n_removed)],
         F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
-        F.coalesce(F.when(F.col("text").isNull(), 0).otherwise(holds_word), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(F.when(F.col("text").isNull(), 0).otherwise(holds_word), F.lit(0)).cast("long").alias(n_lines),
+        F.coalesce(F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)), F.lit(0)).cast("long").alias(n_removed),
     )
 
 

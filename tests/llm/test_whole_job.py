@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import GroupedData
 
-from quizlake.llm import decontaminate, jaccard_join, toxicity
+from quizlake.llm import decontaminate, graph, jaccard_join, toxicity
 
 
 @pytest.mark.parametrize("n", [7, 9, 1000])
@@ -25,35 +25,110 @@ def test_leaks_are_found_however_many_documents_hold_them(spark, n):
     assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(d, 1 if d < 2 * n else 2) for d in range(3 * n)]
 
 
+def seeded(texts, rng):
+    """An index whose seeds are chosen by counts that are no one's."""
+    index = decontaminate.Index.of(texts)
+    return index.seeded(np.array([rng.randint(0, 3) for _ in range(index.features)]))
+
+
 def test_no_passage_that_reaches_the_threshold_is_left_out():
+    """Against the alignment of whole texts, without seeds and windows: items with
+    words replaced, left out and added at rates up to the threshold and beyond."""
     rng = random.Random(8)
-    for _ in range(300):
-        item = [rng.choice("abcdefghij") for _ in range(rng.randint(3, 20))]
-        text = [rng.choice("abcdefghijxyz") for _ in range(rng.randint(0, 30))]
-        edited = [w for w in item if rng.random() > 0.2]
-        text = " ".join(text + [w if rng.random() > 0.2 else "z" for w in edited] + text)
-        index = decontaminate.Index.of([(1, " ".join(item))])
-        read, wanted = index.read(text), index.items[0][1]
-        scores = [decontaminate.align(wanted, read[a:z])[0] for _, a, z in index.windows(read)]
-        best = max(scores, default=0)
-        got = [round(r[1] * 2 * len(item)) for r in index.leaks(text)]
+    found = 0
+    for _ in range(1500):
+        letters = [f"w{k}" for k in range(rng.choice([4, 10, 200]))]
+        item = [rng.choice(letters) for _ in range(rng.randint(3, 40))]
+        around = lambda: [rng.choice([*letters, "x", "y", "z"]) for _ in range(rng.randint(0, 30))]
+        replaced, left_out, added = (rng.choice([0, 0.1, 0.3, 0.5]) for _ in range(3))
+        edited = []
+        for w in item:
+            if rng.random() >= left_out:
+                edited.append(w if rng.random() >= replaced else "z")
+            if rng.random() < added:
+                edited.append("y")
+        text = " ".join(around() + edited + around())
+        index = seeded([(1, " ".join(item))], rng)
+        read = index.read(text)
+        best = decontaminate.align(index.items[0][1], read)[0]
+        got = [round(r[1] * 2 * len(item)) for r in index.leaks(read)]
         assert got == ([best] if best >= len(item) else [])
+        found += len(got)
+    assert found > 300
+
+
+@pytest.mark.parametrize("m", [30, 48, 60])
+def test_edits_that_leave_no_three_words_in_a_row(spark, m):
+    item = [f"i{k}" for k in range(m)]
+    after_two = " ".join(w + (" new" if k % 2 else "") for k, w in enumerate(item))
+    third = " ".join("new" if k % 3 == 2 else w for k, w in enumerate(item))
+    after_each = " ".join(w + " new" for w in item)
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    docs = spark.createDataFrame([(1, after_two), (2, third), (3, after_each), (4, "new " * 50)], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in decontaminate.leaks(docs, benchmark).collect()}
+    assert sorted(got) == [1, 2, 3] and got[1] > 0.7 and min(got.values()) >= 0.5
 
 
-def test_windows_are_those_of_every_seed():
-    rng = np.random.default_rng(5)
-    texts = [(k, " ".join(f"w{x}" for x in rng.integers(0, 6, rng.integers(1, 12)))) for k in range(20)]
+def test_seeds_are_the_rarest_words_and_pairs():
+    texts = [(1, "the of the of the of rare thing"), (2, "one two three")]
     index = decontaminate.Index.of(texts)
-    read = index.read(" ".join(f"w{x}" for x in rng.integers(0, 8, 60)))
-    want = set()
-    for i, (_, text) in enumerate(texts):
-        own = index.read(text).tolist()
-        for p in range(len(own) - 2):
-            for place in range(len(read) - 2):
-                if read[place : place + 3].tolist() == own[p : p + 3]:
-                    block = (place - p) // len(own)
-                    want.add((i, max(0, (block - 1) * len(own)), (block + 3) * len(own)))
-    assert set(index.windows(read)) == want
+    counts = np.full(index.features, 1000)
+    for w in ("rare", "thing", "one"):
+        counts[index.known[w]] = 1
+    index = index.seeded(counts)
+    many = np.diff(index.first)
+    assert all(many[index.known[w]] for w in ("rare", "thing", "one"))
+    held = {i: int((index.places[:, 0] == i).sum()) for i in (0, 1)}
+    assert held[0] >= 9 and held[1] >= 4  # more than half of the words and pairs of each
+
+
+def test_one_block_of_items_is_broadcast_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK", 4)
+    alive, most = set(), []
+    make = type(spark.sparkContext).broadcast
+
+    def broadcast(self, value):
+        made = make(self, value)
+        destroy = made.destroy
+        alive.add(id(made))
+        most.append(len(alive))
+        made.destroy = lambda *a: (alive.discard(id(made)), destroy(*a))
+        return made
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", broadcast)
+    items = [(k, " ".join(f"i{k}w{j}" for j in range(20))) for k in range(12)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame([(k, f"before {x} after") for k, x in items], "doc_id long, text string")
+    got = decontaminate.leaks(docs, benchmark).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(k, k) for k in range(12)]
+    assert len(most) >= 6 and max(most) <= 2 and not alive
+
+
+def test_a_group_of_near_copies_takes_one_edge_a_text_and_round(spark):
+    """2,000 texts that share 40 keys in different ways, and the rows of each round."""
+    rng = random.Random(2)
+    pairs = [(f"n{k:05d}", f"{band}-{rng.choice('aab')}") for k in range(2_000) for band in range(40)]
+    pairs += [("lone", "own"), ("m1", "two"), ("m2", "two")]
+    df = spark.createDataFrame(pairs, "node string, key string")
+    seen, plain = [], graph.followed
+
+    def followed(edges):
+        seen.append((edges.count(), edges.select("label").distinct().count()))
+        return plain(edges)
+
+    graph.followed = followed
+    try:
+        got = dict(map(tuple, graph.connected(df).collect()))
+    finally:
+        graph.followed = plain
+    assert got == {f"n{k:05d}": "n00000" for k in range(2_000)} | {"m1": "m1", "m2": "m1"}
+    assert seen and all(edges == texts <= 2_002 for edges, texts in seen) and len(seen) <= 4
+
+
+def test_long_chains_are_one_component(spark):
+    edges = [(f"c{(k * 7919) % 300:03d}", f"c{(k * 7919 + 7919) % 300:03d}") for k in range(299)]
+    got = graph.components(spark.createDataFrame(edges, "u string, v string")).collect()
+    assert len(got) == 300 and {r["root"] for r in got} == {"c000"}
 
 
 def near_copies(name: str, n: int) -> list[str]:
