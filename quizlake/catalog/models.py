@@ -86,8 +86,11 @@ def cross_validation(spark, folder):
 
 @query("cluster_features")
 def cluster_features(spark, folder):
-    terms = storage.settle(ML.option_terms(usable(spark, folder)))
-    return ML.cluster_features(ML.fit_clusters(terms), terms)
+    """Cluster and distance of every option; vocabulary, axes and centers are fitted on the same rows."""
+    rows = usable(spark, folder)
+    vocab = storage.settle(K.vocabulary(K.question_documents(rows)))
+    terms = storage.settle(ML.option_terms(rows))
+    return ML.cluster_features(ML.fit_clusters(terms, vocab), terms)
 
 
 _CENTERS = [[0.05] * 64, [-0.05] * 64]

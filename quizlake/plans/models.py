@@ -2,27 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (
     LinearSVC,
     LogisticRegression,
     NaiveBayes,
     RandomForestClassifier,
 )
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import (
-    PCA, ElementwiseProduct, HashingTF, IDF, Normalizer, VectorAssembler,
-)
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from quizlake.functions import text as T, values as V
 from quizlake.operators import corpus as K, features as X, metrics as M, reshape as R
 from quizlake.operators.verdicts import soft_vote
+from quizlake.plans.clusters import Clusters, assign_centers, cluster_features, fit_clusters
 from quizlake.sources.storage import settle
 
 SEED = 42
@@ -39,9 +38,27 @@ def probability(model, df: DataFrame, name: str) -> DataFrame:
     return made.select(*df.columns, p.alias(name))
 
 
-def fold(k: int, *keys: str) -> Column:
-    """Fold number from the hash of the row's key: every task decides alone."""
-    return F.conv(F.substring(R.sample_key(SEED, *keys), 1, 8), 16, 10).cast("bigint") % k
+def together(*jobs: Callable[[], object]) -> list:
+    """Runs independent trainings at the same time: each is a chain of small jobs
+    that wait for the driver, so they fill each other's gaps."""
+    own = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [done.result() for done in [pool.submit(own(job)) for job in jobs]]
+
+
+def stratified_folds(df: DataFrame, k: int, *keys: str, label: str = "label") -> DataFrame:
+    """``df`` with ``_fold``: in each class the sizes of the folds differ by at most
+    one.  Rows are ranked within their class by a hash of their key, without a
+    window over a class: ranges of (class, hash) count their own rows, and the
+    counts of the ranges before come from a table with a row per range and class."""
+    key = F.struct(F.col(label).alias("c"), R.sample_key(SEED, *keys).alias("h"))
+    placed = settle(df.withColumn("_k", key).repartitionByRange("_k").withColumn("_part", F.spark_partition_id()))
+    counts = placed.groupBy(F.col("_k.c").alias("_c"), "_part").agg(F.count("*").alias("n"))
+    lower = Window.partitionBy("_c").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("_c", "_part", F.coalesce(F.sum("n").over(lower), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_part", "_k.c").orderBy("_k.h", *keys)) - 1
+    ranked = placed.withColumn("_own", own).withColumn("_c", F.col("_k.c")).join(before, ["_c", "_part"])
+    return ranked.withColumn("_fold", ((F.col("_before") + F.col("_own")) % k).cast("int")).select(*df.columns, "_fold")
 
 
 # -- single classifiers ------------------------------------------------------------
@@ -98,9 +115,9 @@ class CalibratedSvm:
 def train_svm_calibrated(train: DataFrame, keys: tuple[str, ...], folds: int = 3, max_iter: int = 5000, curve_rows: int = 200_000):
     """The curve of a fold is fitted on unrounded margins of at most about
     ``curve_rows`` of its labelled rows, chosen by a hash (fewer: all)."""
-    marked = settle(train.withColumn("_fold", fold(folds, *keys)))
-    parts = []
-    for i in range(folds):
+    marked = settle(stratified_folds(train, folds, *keys))
+
+    def part(i: int):
         rest = marked.where(F.col("_fold") != i)
         svm = LinearSVC(regParam=1.0 / rest.count(), maxIter=max_iter, tol=1e-4).fit(rest)
         margin = F.get(vector_to_array(F.col("rawPrediction")), F.lit(1))
@@ -114,55 +131,10 @@ def train_svm_calibrated(train: DataFrame, keys: tuple[str, ...], folds: int = 3
             .groupBy("margin")
             .agg(F.avg("y").alias("label"), F.count("*").cast("double").alias("weight"))
         )
-        curve = IsotonicRegression(featuresCol="margin", labelCol="label", weightCol="weight").fit(known)
-        parts.append((svm, curve))
-    return CalibratedSvm(parts)
-
-
-# -- cluster features ------------------------------------------------------------------
-
-
-def fit_clusters(options: DataFrame, buckets: int = 256, components: int = 64, k: int = 2) -> PipelineModel:
-    """TF-IDF of option texts in hashed buckets, main components, two clusters.
-    ``options`` has ``terms``."""
-    tf = HashingTF(inputCol="terms", outputCol="tf", numFeatures=buckets)
-    counted = tf.transform(options)
-    plain = IDF(inputCol="tf", outputCol="plain").fit(counted)
-    smooth = ElementwiseProduct(
-        scalingVec=Vectors.dense([x + 1.0 for x in plain.idf.toArray()]), inputCol="tf", outputCol="weighted"
-    )
-    norm = Normalizer(inputCol="weighted", outputCol="unit")
-    weighted = norm.transform(smooth.transform(counted))
-    pca = PCA(k=components, inputCol="unit", outputCol="reduced").fit(weighted)
-    means = KMeans(k=k, seed=SEED, featuresCol="reduced", predictionCol="cluster").fit(
-        pca.transform(weighted)
-    )
-    return PipelineModel([tf, smooth, norm, pca, means])
-
-
-def distance_to(point: Column, center: Column) -> Column:
-    squares = F.zip_with(point, center, lambda a, b: (a.cast("double") - b) * (a.cast("double") - b))
-    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda acc, x: acc + x))
-
-
-def assign_centers(df: DataFrame, vector: Column, centers: list[list[float]]) -> DataFrame:
-    """Nearest of a few given centers and the distance to it."""
-    made = [
-        F.struct(distance_to(vector, F.array(*[F.lit(float(x)) for x in c])).alias("d"), F.lit(i).alias("i"))
-        for i, c in enumerate(centers)
-    ]
-    return df.withColumn("_n", F.least(*made)).select(
-        *df.columns,
-        F.col("_n.i").cast("double").alias("kmeans_cluster_label"),
-        F.col("_n.d").alias("kmeans_centroid_dist"),
-    )
-
+        return svm, IsotonicRegression(featuresCol="margin", labelCol="label", weightCol="weight").fit(known)
 
-def cluster_features(model: PipelineModel, options: DataFrame) -> DataFrame:
-    made = model.transform(options)
-    centers = [list(c) for c in model.stages[-1].clusterCenters()]
-    keep = made.select(*options.columns, vector_to_array("reduced").alias("_v"))
-    return assign_centers(keep, F.col("_v"), centers).drop("_v", "terms")
+    parts = together(*[lambda i=i: part(i) for i in range(folds)])
+    return CalibratedSvm(parts)
 
 
 def option_terms(questions: DataFrame) -> DataFrame:
@@ -178,7 +150,7 @@ def option_terms(questions: DataFrame) -> DataFrame:
 @dataclass
 class Verifier:
     vocab: DataFrame
-    clusters: PipelineModel
+    clusters: Clusters
     lr: object
     svm: CalibratedSvm
     rf: object
@@ -199,13 +171,13 @@ class Verifier:
         return out.withColumn("p", soft_vote(F.col("p_lr"), F.col("p_svm"), F.col("p_rf")))
 
 
-def verifier_rows(questions: DataFrame) -> tuple[DataFrame, DataFrame, PipelineModel]:
+def verifier_rows(questions: DataFrame) -> tuple[DataFrame, DataFrame, Clusters]:
     """All option rows with 12 features, label and split; the vocabulary and
     the clusters come from the training part only."""
     marked = R.split_two(questions, F.col("article"), 85)
     train = marked.where("split = 'train'")
     vocab = settle(K.vocabulary(K.question_documents(train)))
-    clusters = fit_clusters(settle(option_terms(train)))
+    clusters = fit_clusters(settle(option_terms(train)), vocab)
     base = X.verifier_features(X.option_items(questions), vocab)
     keyed = R.explode_options(marked, ["row_id", "split"]).select(
         "row_id", F.col("label").alias("option"), "split", F.col("is_correct").alias("label")
@@ -228,14 +200,14 @@ def balanced_train(rows: DataFrame) -> DataFrame:
 def train_verifier(questions: DataFrame, trees: int = 300, depth: int = 15) -> tuple[Verifier, DataFrame]:
     rows, vocab, clusters = verifier_rows(questions)
     train = assemble(balanced_train(rows), V.VERIFIER_FEATURES)
-    model = Verifier(
-        vocab,
-        clusters,
-        train_lr(train),
-        train_svm_calibrated(train.select("row_id", "option", "label", "features"), ("row_id", "option")),
-        train_rf(train, trees, depth),
-        train_nb(train),
+    keyed = train.select("row_id", "option", "label", "features")
+    fitted = together(
+        lambda: train_lr(train),
+        lambda: train_svm_calibrated(keyed, ("row_id", "option")),
+        lambda: train_rf(train, trees, depth),
+        lambda: train_nb(train),
     )
+    model = Verifier(vocab, clusters, *fitted)
     test = assemble(rows.where("split = 'test'"), V.VERIFIER_FEATURES)
     return model, probability(model.nb, model.votes(test), "p_nb")
 
@@ -251,15 +223,16 @@ def model_report(scored: DataFrame) -> DataFrame:
 
 def cross_validation(train: DataFrame, keys: tuple[str, ...], k: int = 5) -> DataFrame:
     """F1 of a class-weighted logistic regression over ``k`` folds."""
-    marked = settle(train.withColumn("_fold", fold(k, *keys)))
-    out = None
-    for i in range(k):
+    marked = settle(stratified_folds(train, k, *keys))
+
+    def part(i: int) -> float:
         rest = class_weights(marked.where(F.col("_fold") != i))
         model = train_lr(rest, 0.5, 1000, "weight")
         scored = probability(model, marked.where(F.col("_fold") == i), "score")
-        part = M.binary_metrics(M.confusion(scored, "label", F.col("score") >= 0.5))
-        part = part.select(F.lit(i).alias("fold"), "f1")
-        out = part if out is None else out.unionByName(part)
+        return M.binary_metrics(M.confusion(scored, "label", F.col("score") >= 0.5)).first()["f1"]
+
+    found = together(*[lambda i=i: part(i) for i in range(k)])
+    out = train.sparkSession.createDataFrame([(i, f) for i, f in enumerate(found)], "fold int, f1 double")
     return out.agg(F.avg("f1").alias("f1_mean"), F.stddev_pop("f1").alias("f1_std"), F.count("*").alias("folds"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import tempfile
 import uuid
@@ -146,3 +147,52 @@ def index_is_current(spark: SparkSession, records: DataFrame, path: str) -> bool
         return False
     old = spark.read.parquet(f"{path}/manifest").first()
     return old == fingerprint(records).first()
+
+
+# -- versioned stores: folders that a manifest names --------------------------------------------
+
+
+def version_name() -> str:
+    return f"version-{uuid.uuid4().hex}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path, fs = _file_system(spark, path)
+    return fs.exists(hadoop_path)
+
+
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    folder, fs = _file_system(spark, f"{path}/manifests")
+    if not fs.exists(folder):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(folder)]
+    return sorted(int(n) for n in names if n.isdigit())
+
+
+def manifest(spark: SparkSession, path: str) -> dict | None:
+    """The latest manifest of a store, or none."""
+    numbers = _numbers(spark, path)
+    if not numbers:
+        return None
+    rows = spark.read.text(f"{path}/manifests/{numbers[-1]}", wholetext=True)
+    return json.loads(rows.first()["value"])
+
+
+def publish(spark: SparkSession, path: str, content: dict) -> int:
+    """Makes ``content`` the latest manifest.  It is written aside and then renamed
+    to the next number: a rename that another writer was faster with fails, and
+    this one takes the number after.  Readers see the old manifest or the new one."""
+    aside = f"{path}/aside-{uuid.uuid4().hex}"
+    spark.createDataFrame([(json.dumps(content),)], "value string").coalesce(1).write.text(aside)
+    source, fs = _file_system(spark, aside)
+    part = next(f.getPath() for f in fs.listStatus(source) if f.getPath().getName().startswith("part-"))
+    folder, _ = _file_system(spark, f"{path}/manifests")
+    fs.mkdirs(folder)
+    number = max([0, *_numbers(spark, path)])
+    while True:
+        number += 1
+        target, _ = _file_system(spark, f"{path}/manifests/{number}")
+        if not fs.exists(target) and fs.rename(part, target):
+            break
+    fs.delete(source, True)
+    return number
