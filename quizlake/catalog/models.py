@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from quizlake.catalog.corpora import ranker_rows
 from quizlake.catalog.registry import query
 from quizlake.catalog.tables import usable
 from quizlake.functions import values as V
-from quizlake.operators import corpus as K, features as X, metrics as M
-from quizlake.plans import model_quizzes as MQ, models as ML
+from quizlake.operators import corpus as K, features as X, metrics as M, retrieval as RT
+from quizlake.plans import model_quizzes as MQ, models as ML, store as ST
 from quizlake.sources import storage, tables as S
 
 
@@ -144,56 +146,108 @@ def feature_importance(spark, folder):
     return ML.feature_importance(spark, model, V.RANKER_FEATURES)
 
 
+def _distractor_ranker(spark, folder):
+    train = lambda: ML.train_distractor_ranker(storage.settle(X.distractor_training_rows(usable(spark, folder))))
+    return storage.once(spark, "distractor_ranker", folder, train)
+
+
 @query("train_distractor_ranker")
 def train_distractor_ranker(spark, folder):
-    _, _, scored = ML.train_distractor_ranker(X.distractor_training_rows(usable(spark, folder)))
-    return ML.model_report(scored)
+    return ML.model_report(_distractor_ranker(spark, folder)[2])
+
+
+def _labelled_ranker_rows(spark, folder):
+    return storage.once(spark, "labelled_ranker_rows", folder, lambda: ranker_rows(spark, folder).select(
+        "group_id", "candidate_index", "template", "question", "target", "label"))
+
+
+def model_store(spark, folder):
+    """All models, trained at the same time, in one version of a store."""
+
+    def build():
+        path = storage.new_folder(spark, "models")
+        (verifier, votes), (ranker, scored), (forest, _, pairs) = ML.together(
+            lambda: trained_verifier(spark, folder),
+            lambda: _ranker(spark, folder),
+            lambda: _distractor_ranker(spark, folder),
+        )
+        rows = _labelled_ranker_rows(spark, folder)
+        thresholds = (V.POSITIVE_THRESHOLD, V.NEGATIVE_THRESHOLD)
+        about = ST.ranker_metadata(rows, ranker, storage.settle(scored.drop("features")), V.RANKER_FEATURES, *thresholds)
+        reports = {
+            "verifier": _report(votes),
+            "distractor_ranker": _report(pairs),
+        }
+        ST.save(ST.ModelSet(verifier, ranker, forest), path, {"question_ranker": about} | reports)
+        return path
+
+    return storage.once(spark, "model_store", folder, build)
+
+
+def _report(scored):
+    rows = ML.model_report(storage.settle(scored.drop("features"))).collect()  # one row a model
+    return {r["model"]: {k: round(x, 6) if isinstance(x, float) else x for k, x in r.asDict().items() if k != "model"} for r in rows}
 
 
 @query("write_models")
 def write_models(spark, folder):
-    """Models and vocabulary to the shared folder, read back and applied."""
-    from pyspark.ml.classification import RandomForestClassificationModel
-
-    rows = storage.settle(X.distractor_training_rows(usable(spark, folder)))
-    forest, _, scored = ML.train_distractor_ranker(rows)
-    path = storage.new_folder(spark, "models")
-    forest.write().overwrite().save(f"{path}/distractor_ranker")
-    K.vocabulary(K.question_documents(usable(spark, folder))).write.parquet(f"{path}/vocabulary")
-    again = RandomForestClassificationModel.load(f"{path}/distractor_ranker")
-    test = scored.select("row_id", "option_id", "features", "p_rf")
-    loaded = ML.probability(again, test, "p_loaded")
-    terms = spark.read.parquet(f"{path}/vocabulary").agg(F.count("*")).scalar()
-    return loaded.agg(
-        F.count("*").alias("n_rows"),
-        F.count_if(F.abs(F.col("p_rf") - F.col("p_loaded")) < 1e-12).alias("n_equal"),
-    ).withColumn("n_terms", terms)
+    """The store written and read back: votes of the loaded models against those of
+    the trained ones, on every test row."""
+    verifier, votes = trained_verifier(spark, folder)
+    ranker, scored = _ranker(spark, folder)
+    forest, _, pairs = _distractor_ranker(spark, folder)
+    again = ST.load(spark, model_store(spark, folder))
+
+    def compared(name, rows, trained, loaded):
+        return rows.agg(
+            F.lit(name).alias("model"), F.count("*").alias("n_rows"), F.count_if(F.abs(F.col(trained) - F.col(loaded)) < 1e-12).alias("n_equal"))
+
+    test = votes.withColumnsRenamed({c: f"own_{c}" for c in ("p_lr", "p_svm", "p_rf", "p")})
+    voted = storage.settle(again.verifier.votes(test).drop("features"))
+    out = [compared(c, voted, f"own_{c}", c) for c in ("p_lr", "p_svm", "p_rf", "p")]
+    out.append(compared("question_ranker", ML.probability(again.ranker, scored, "loaded"), "predicted", "loaded"))
+    out.append(compared("distractor_ranker", ML.probability(again.distractor_ranker, pairs, "loaded"), "p_rf", "loaded"))
+    terms = verifier.vocab.withColumnRenamed("idf", "own").join(again.verifier.vocab.select("term", "idf"), "term", "left")
+    out.append(compared("vocabulary", terms, "own", "idf"))
+    return reduce(DataFrame.unionByName, out)
 
 
 @query("write_metadata")
 def write_metadata(spark, folder):
-    """Counts and metrics of the ranker rows as JSON, a preview as CSV."""
-    rows = storage.settle(ranker_rows(spark, folder).select("group_id", "candidate_index", "question", "target", "label"))
-    path = storage.new_folder(spark, "metadata")
-    meta = rows.agg(
-        F.count("*").alias("n_rows"),
-        F.count_distinct("group_id").alias("n_groups"),
-        F.sum("label").alias("n_positive"),
-    )
-    meta.write.json(f"{path}/metadata")
-    preview = rows.orderBy("group_id", "candidate_index").limit(1000)
-    storage.write_csv(preview, f"{path}/preview")
-    lines = spark.read.csv(f"{path}/preview", header=True, multiLine=True, escape='"').agg(F.count("*")).scalar()
-    return spark.read.schema(meta.schema).json(f"{path}/metadata").withColumn("n_preview", lines)
+    """The metadata of the store as rows (model, name, value), and the length of
+    the preview that is written beside it as CSV."""
+    path = model_store(spark, folder)
+    about = ST.metadata(spark, path)
+    ranker = about["question_ranker"]
+    plain = [("question_ranker", k, float(v)) for k, v in ranker.items() if isinstance(v, (int, float))]
+    plain += [("question_ranker", f"{part}.{k}", float(v)) for part in ("binary_metrics", "ranking_metrics") for k, v in ranker[part].items()]
+    plain += [("question_ranker", f"importance.{x['feature']}", x["importance"]) for x in ranker["top_importances"]]
+    plain += [("question_ranker", "n_features", float(len(ranker["feature_names"])))]
+    plain += [(name, f"{m}.{k}", float(v)) for name in ("verifier", "distractor_ranker") for m, r in about[name].items() for k, v in r.items()]
+    preview = f"{path}/preview-{storage.version_name()}"
+    storage.write_csv(_labelled_ranker_rows(spark, folder).orderBy("group_id", "candidate_index").limit(1000), preview)
+    lines = spark.read.csv(preview, header=True, multiLine=True, escape='"').count()
+    return spark.createDataFrame([*plain, ("question_ranker", "n_preview", float(lines))], "model string, name string, value double")
+
+
+def quiz_index(spark, folder):
+    """The retrieval index of the corpus, stored beside the models."""
+
+    def build():
+        path = storage.new_folder(spark, "index")
+        vocab = trained_verifier(spark, folder)[0].vocab
+        RT.store_index(K.corpus_records(usable(spark, folder)), vocab, path, fill=V.RETRIEVAL_LIMIT)
+        return path
+
+    return RT.load_index(spark, storage.once(spark, "quiz_index", folder, build))
 
 
 @query("build_quizzes")
 def build_quizzes(spark, folder):
-    rows = usable(spark, folder)
-    verifier, _ = trained_verifier(spark, folder)
-    ranker, _ = _ranker(spark, folder)
-    forest, _, _ = ML.train_distractor_ranker(X.distractor_training_rows(rows))
-    quizzes = MQ.build_quizzes(S.passages(spark, folder), K.corpus_records(rows), verifier, ranker, forest)
+    models = ST.load(spark, model_store(spark, folder))
+    quizzes = MQ.build_quizzes(
+        S.passages(spark, folder), quiz_index(spark, folder), models.verifier, models.ranker, models.distractor_ranker
+    )
     return quizzes.select(
         "doc_id",
         "question",
@@ -202,6 +256,9 @@ def build_quizzes(spark, folder):
         F.array_join("options", " | ").alias("options"),
         F.array_join("hints", " | ").alias("hints"),
         "option_quality",
+        "n_considered",
+        "fallback_used",
+        F.array_join(F.transform("selected", lambda e: F.concat_ws(": ", e["quality"], e["text"])), " | ").alias("selected"),
         "predicted_label",
         "predicted_answer",
         "verifier_matches",

@@ -249,14 +249,15 @@ def overall_quality(picked: Column) -> Column:
     return F.coalesce(F.get(T.words_lit(V.STAGES), (worst - 1).cast("int")), F.lit("last_resort"))
 
 
-def option_ladder(rows: DataFrame, scorer: Scorer, margin: Scorer) -> DataFrame:
-    """Add ``picked``, ``options``, ``option_quality`` and ``stage_counts``."""
+def option_ladder(rows: DataFrame, scorer: Scorer, margin: Scorer, fallback: Column | None = None) -> DataFrame:
+    """Add ``picked``, ``options``, ``option_quality``, ``stage_counts`` and
+    ``n_considered``.  ``fallback`` holds further texts of the passage where
+    its sentences are not at hand."""
     answer = F.col("correct.text")
     tried = rows.withColumn("tried", stage_lists(scorer, margin))
     picked = tried.withColumn("picked", select_diverse(F.col("tried"), T.option_key(answer)))
-    fallback = Q.compatible_entries(
-        F.col("sentences"), F.col("candidates"), F.col("correct"), F.lit(""), 3
-    )
+    if fallback is None:
+        fallback = Q.compatible_entries(F.col("sentences"), F.col("candidates"), F.col("correct"), F.lit(""), 3)
     counted = lambda stage: F.size(F.filter("picked", lambda e: e["quality"] == stage))
     counts = F.map_from_arrays(T.words_lit(V.STAGES), F.array(*[counted(s) for s in V.STAGES]))
     return (

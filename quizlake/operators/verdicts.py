@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quizlake.functions import text as T, values as V
@@ -19,12 +21,17 @@ def soft_vote(*probabilities: Column) -> Column:
 
 
 def predict_label(
-    options: Column, article: Column, sentence: Column, tolerance: float = V.TIE_TOLERANCE
+    options: Column,
+    article: Column | None,
+    sentence: Column,
+    tolerance: float = V.TIE_TOLERANCE,
+    spot: Callable[[Column], Column] | None = None,
 ) -> Column:
     """``options``: array of ``label, text, p``.  The best-scored label; scores
     within the tolerance are settled by presence in the source sentence, then
     the earliest place in the article, then a length near two words, then the
-    earlier label."""
+    earlier label.  ``spot`` gives an option's place (from 1, 0 if absent) where
+    it is known and no article is at hand."""
 
     def settle(scope: Column) -> Column:
         best = F.array_max(F.transform(options, lambda o: o["p"]))
@@ -32,10 +39,10 @@ def predict_label(
 
         def key(o: Column) -> Column:
             low = F.lower(o["text"])
-            spot = F.call_function("instr", scope["article"], low)
+            at = F.call_function("instr", scope["article"], low) if spot is None else spot(o)
             return F.struct(
                 (~F.contains(scope["sentence"], low)).cast("int").alias("absent"),
-                F.when(spot == 0, F.lit(10**9)).otherwise(spot - 1).alias("spot"),
+                F.when(at == 0, F.lit(10**9)).otherwise(at - 1).alias("spot"),
                 F.abs(F.size(T.split_words(T.strip(o["text"]))) - 2).alias("length"),
                 o["label"].alias("label"),
             )
@@ -43,7 +50,7 @@ def predict_label(
         return F.array_min(F.transform(tied, key))["label"]
 
     return T.let(
-        F.struct(F.lower(article).alias("article"), F.lower(sentence).alias("sentence")), settle
+        F.struct(F.lower(F.lit("") if article is None else article).alias("article"), F.lower(sentence).alias("sentence")), settle
     )
 
 
