@@ -14,6 +14,7 @@ from quizlake.catalog.registry import (
 from quizlake.catalog.tables import usable
 from quizlake.functions import text as T, values as V
 from quizlake.operators import candidates as C, corpus as K, options as OP, retrieval as RT
+from quizlake.sources import storage
 
 view(
     "v_rec",
@@ -452,16 +453,16 @@ def rank_questions(spark, folder):
 _QUALITY = "case when answer_rank % 3 = 0 then 'relaxed' when answer_rank % 3 = 1 then 'last_resort' else 'retrieved' end"
 
 
-@query(
-    "choose_bundle",
-    f"""
-    select doc_id, place, question, quality, accept from (select *, quality in ('strict', 'retrieved') and matches as accept,
-      round(case quality when 'strict' then 4.0::double when 'retrieved' then 3.0::double when 'relaxed' then 2.0::double else 1.0::double end
-        + case when matches then 0.35::double else 0.0::double end + least(score, 1.0::double) * 0.05::double, 9) as bundle
-      from (select doc_id, place, question, score, {_QUALITY} as quality, template <> 'cloze' as matches
-               from v_qrank where place < 6))
-    qualify row_number() over (partition by doc_id order by accept desc, case when accept then -place else bundle end desc, place) = 1""",
-)
+_BUNDLES = f"""
+select doc_id, place, question, quality, accept from (select *, quality in ('strict', 'retrieved') and matches as accept,
+  round(case quality when 'strict' then 4.0::double when 'retrieved' then 3.0::double when 'relaxed' then 2.0::double else 1.0::double end
+    + case when matches then 0.35::double else 0.0::double end + least(score, 1.0::double) * 0.05::double, 9) as bundle
+  from (select doc_id, place, question, score, {_QUALITY} as quality, template <> 'cloze' as matches
+           from v_qrank where place < 6))
+qualify row_number() over (partition by doc_id order by accept desc, case when accept then -place else bundle end desc, place) = 1"""
+
+
+@query("choose_bundle", _BUNDLES)
 def choose_bundle(spark, folder):
     """The quality here is a fixed function of the answer's rank; the quiz job
     fills it from the option ladder."""
@@ -479,3 +480,22 @@ def choose_bundle(spark, folder):
         "b.quality",
         (F.col("b.quality").isin("strict", "retrieved") & F.col("b.matches")).alias("accept"),
     )
+
+
+@query("frontier_bundles", _BUNDLES)
+def frontier_bundles(spark, folder):
+    """``choose_bundle`` by the rounds of the quiz job: passages with an accepted
+    bundle leave, and only the others are judged at their next places."""
+    from quizlake.plans import model_quizzes as MQ
+
+    def judge(open_):
+        rank = F.col("answer_rank") % 3
+        quality = F.when(rank == 0, "relaxed").when(rank == 1, "last_resort").otherwise("retrieved")
+        rows = open_.withColumn("quality", quality).withColumn("matches", F.col("template") != "cloze")
+        key = OP.bundle_order(F.col("quality"), F.col("matches"), F.col("score"), F.col("place"))
+        return rows.select("doc_id", "place", F.struct("place", "question", "quality", "matches").alias("bundle"), key.alias("key"))
+
+    rows = ranked_questions(spark, folder).where(F.col("place") < V.BUNDLE_POOL)
+    best = MQ.frontier(storage.settle(rows), judge)
+    accept = F.col("bundle.quality").isin("strict", "retrieved") & F.col("bundle.matches")
+    return best.select("doc_id", "bundle.place", "bundle.question", "bundle.quality", accept.alias("accept"))
