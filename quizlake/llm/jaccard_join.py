@@ -34,6 +34,7 @@ from math import comb
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window as W, functions as F
 
@@ -44,7 +45,7 @@ from quizlake.sources.storage import settle
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 40, 5
 STEP, TOLERANCE = 20, 1e-6
-BLOCK, BIN = 512, 1500
+BLOCK, BIN, SLICE = 512, 1500, 256
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _draw = np.random.default_rng(20240607)
 _A = (_draw.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -118,18 +119,23 @@ def sets(docs: DataFrame) -> DataFrame:
     """(d, t, node, bands) of every document: node is a 128-bit hash of its set,
     null without words; bands are the hashes of its 40 bands."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            nodes, bands = [], []
-            for text in frame["x"]:
-                s = shingles(text if isinstance(text, str) else None)
-                nodes.append(xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None)
-                found = minhash(s).reshape(BANDS, ROWS) if len(s) else ()
-                bands.append([np.int64(xxhash.xxh3_64_intdigest(b.tobytes(), seed=k) >> 1) for k, b in enumerate(found)])
-            yield pd.DataFrame({"d": frame["d"], "t": frame["t"], "node": nodes, "bands": bands})
+    schema = pa.schema([("d", pa.int64()), ("t", pa.int64()), ("node", pa.string()), ("bands", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
+                nodes, bands = [], []
+                for text in part.column("x").to_pylist():
+                    s = shingles(text)
+                    nodes.append(xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None)
+                    found = minhash(s).reshape(BANDS, ROWS) if len(s) else ()
+                    bands.append([xxhash.xxh3_64_intdigest(b.tobytes(), seed=k) >> 1 for k, b in enumerate(found)])
+                columns = [part.column("d"), part.column("t"), nodes, bands]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) if isinstance(c, list) else c for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     rows = docs.select(*identity(F.col("doc_id"), F.col("text")), F.col("text").alias("x"))
-    return rows.mapInPandas(run, "d long, t long, node string, bands array<long>")
+    return rows.mapInArrow(run, "d long, t long, node string, bands array<long>")
 
 
 def dealt(members: DataFrame) -> DataFrame:

@@ -92,10 +92,15 @@ def fit(rows: list[np.ndarray], labels: list[int], epochs: int = 5) -> tuple[np.
     for f in rows:
         at = np.unique(f & low)
         seen[at] = np.minimum(seen[at], 2) + 1
-    for k, f in enumerate(rows):
-        rows[k] = f[seen[f & low] > 2]
-    keys = np.unique(np.concatenate(rows))
-    rows = [np.searchsorted(keys, r) for r in rows]
+    # one array for all texts: its memory goes back to the system when it is freed
+    flat, ends = np.concatenate(rows), np.cumsum([len(f) for f in rows])
+    rows.clear()
+    kept = seen[flat & low] > 2
+    ends = np.concatenate([[0], np.cumsum(kept)])[ends]
+    flat = flat[kept]
+    keys = np.unique(flat)
+    flat = np.searchsorted(keys, flat)
+    rows = np.split(flat, ends[:-1])
     model = Ftrl(len(keys))
     for _ in range(epochs):
         for at, label in zip(rows, labels, strict=True):
