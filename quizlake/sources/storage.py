@@ -106,15 +106,36 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.option("header", True).option("escape", '"').csv(path)
 
 
-def read_questions(spark: SparkSession, path: str, schema: T.StructType = QUESTION_SCHEMA) -> DataFrame:
-    """CSV question table; the header is checked by name first."""
+def read_questions(spark: SparkSession, path: str, schema: T.StructType = QUESTION_SCHEMA, multi_line: bool = True) -> DataFrame:
+    """CSV question table; the header is checked by name first.  Files without line
+    breaks inside quotes are split among tasks with ``multi_line=False``."""
+    return _questions(spark, path, schema, multi_line, None)
+
+
+def _questions(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool, broken: str | None) -> DataFrame:
     header = spark.read.csv(path, header=True).columns
     missing = sorted(set(R.REQUIRED) - set(header))
     if missing:
         raise ValueError(f"Missing required columns: {missing}")
     kinds = {f.name: f for f in schema.fields}
-    ordered = T.StructType([kinds.get(c, T.StructField(c, T.StringType(), True)) for c in header])
-    return spark.read.schema(ordered).csv(path, header=True, multiLine=True, escape='"')
+    fields = [kinds.get(c, T.StructField(c, T.StringType(), True)) for c in header]
+    reader = spark.read.option("mode", "PERMISSIVE")
+    if broken:
+        fields.append(T.StructField(broken, T.StringType(), True))
+        reader = reader.option("columnNameOfCorruptRecord", broken)
+    return reader.schema(T.StructType(fields)).csv(path, header=True, multiLine=multi_line, escape='"')
+
+
+def read_checked_questions(
+    spark: SparkSession, path: str, schema: T.StructType = QUESTION_SCHEMA, multi_line: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Well-formed rows, and the rejects (``record, reason``): records with too few
+    or too many fields, or a quote that is not closed, as they stand in the file.
+    The file is read once."""
+    broken = "_broken"
+    rows = settle(_questions(spark, path, schema, multi_line, broken))
+    rejects = rows.where(F.col(broken).isNotNull()).select(F.col(broken).alias("record"), F.lit("malformed record").alias("reason"))
+    return rows.where(F.col(broken).isNull()).drop(broken), rejects
 
 
 def read_text_passages(spark: SparkSession, path: str) -> DataFrame:

@@ -48,26 +48,28 @@ def daily_grades(attempts: DataFrame, keys: DataFrame) -> DataFrame:
     )
 
 
-def run_daily_grades(attempts: DataFrame, keys: DataFrame) -> DataFrame:
-    """Run in update mode; each batch writes its changed days under its own
-    number, so a repeated batch replaces itself and the newest value wins."""
+def run_daily_grades(attempts: DataFrame, keys: DataFrame, out: str | None = None, state: str | None = None) -> DataFrame:
+    """Run in update mode into ``out``, one partition a day.  A batch replaces the
+    partitions of the days it changed and touches no other, so a repeated batch
+    writes the same again, and readers find one row a day.  With the same ``out``
+    and ``state`` a later run goes on where the one before ended; rows that come
+    more than a day behind the newest one seen are dropped by the watermark."""
     spark = attempts.sparkSession
-    out, state = new_folder(spark, "days"), new_folder(spark, "days-state")
+    out, state = out or new_folder(spark, "days"), state or new_folder(spark, "days-state")
 
-    def write(batch: DataFrame, number: int) -> None:
-        batch.select("w.start", "n_attempts", "n_correct").write.mode("overwrite").parquet(
-            f"{out}/batch={number}"
-        )
+    def upsert(batch: DataFrame, number: int) -> None:
+        days = batch.select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "n_attempts", "n_correct")
+        # a batch holds one row a changed day: as many files as days, whatever the partitions
+        days.repartition("day").write.partitionBy("day").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(out)
 
     query = (
         daily_grades(attempts, keys)
         .writeStream.outputMode("update")
         .option("checkpointLocation", state)
-        .foreachBatch(write)
+        .foreachBatch(upsert)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    rows = spark.read.schema("start timestamp, n_attempts bigint, n_correct bigint, batch bigint").parquet(out)
-    last = rows.groupBy("start").agg(F.max_by(F.struct("n_attempts", "n_correct"), "batch").alias("v"))
-    return last.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "v.n_attempts", "v.n_correct")
+    rows = spark.read.schema("n_attempts bigint, n_correct bigint, day string").parquet(out)
+    return rows.select("day", "n_attempts", "n_correct")
