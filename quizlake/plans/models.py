@@ -41,9 +41,10 @@ def probability(model, df: DataFrame, name: str) -> DataFrame:
 def together(*jobs: Callable[[], object]) -> list:
     """Runs independent trainings at the same time: each is a chain of small jobs
     that wait for the driver, so they fill each other's gaps."""
-    own = inheritable_thread_target(SparkSession.active())
+    # each job gets its own copy of the session's properties: a shared one would be changed by all at once
+    session = SparkSession.active()
     with ThreadPoolExecutor(len(jobs)) as pool:
-        return [done.result() for done in [pool.submit(own(job)) for job in jobs]]
+        return [done.result() for done in [pool.submit(inheritable_thread_target(session)(job)) for job in jobs]]
 
 
 def stratified_folds(df: DataFrame, k: int, *keys: str, label: str = "label") -> DataFrame:

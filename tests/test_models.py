@@ -240,3 +240,12 @@ def test_full_job_with_trained_models(spark, folder, small_models, name):
     rows = QUERIES[name](spark, folder).collect()
     assert len(rows) == len({r["doc_id"] for r in rows}) > 300
     assert all(len(r["options"].split(" | ")) >= 4 and r["predicted_label"] in "ABCD" for r in rows)
+
+
+def test_jobs_at_the_same_time_do_not_share_properties(spark):
+    def job(i):
+        return [spark.range(50 + i).agg(F.sum("id")).first()[0] for _ in range(15)]
+
+    for _ in range(3):
+        found = ML.together(*[lambda i=i: job(i) for i in range(8)])
+        assert found == [[sum(range(50 + i))] * 15 for i in range(8)]
