@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from quizlake.catalog.extraction import gold_candidates
 from quizlake.catalog.registry import (
-    inlist, lit, query, s_alnum, s_apos, s_bad_question, s_bigrams, s_clean, s_clean_end, s_f1, s_key,
+    VIEWS, inlist, lit, query, s_alnum, s_apos, s_bad_question, s_bigrams, s_clean, s_clean_end, s_f1, s_key,
     s_lexical_cosine, s_norm_candidate, s_option_category, s_ratio, s_strip, s_collapse, s_terms,
     s_usable, s_verb, s_wh, s_words, view,
 )
@@ -14,8 +16,9 @@ from quizlake.catalog.tables import usable
 from quizlake.catalog.questions import question_table
 from quizlake.functions import text as T, values as V
 from quizlake.operators import candidates as C, corpus as K, features as X, metrics as M, questions as Q
-from quizlake.operators import reshape as R
-from quizlake.sources import tables as S
+from quizlake.operators import options as OP, reshape as R
+from quizlake.plans import models as ML
+from quizlake.sources import storage, tables as S
 
 view(
     "v_docs",
@@ -313,10 +316,14 @@ def ranker_features(spark, folder):
     )
 
 
+TRAINING_ANSWERS = 10
+
+
 def training_questions(spark, folder):
     """Generated questions of the question table with their targets."""
     rows = gold_candidates(spark, folder).withColumnRenamed("question", "gold_question")
-    made = Q.question_rows(rows, 10, with_overlap=True)
+    rows = rows.withColumn("others", F.array(*V.LABELS))
+    made = Q.question_rows(rows, TRAINING_ANSWERS, with_overlap=True)
     return M.training_target(made)
 
 
@@ -386,17 +393,82 @@ def label_group(spark, folder):
     return made.select("doc_id", "candidate_index", settled("target"), "label")
 
 
-def ranker_rows(spark, folder):
-    """Features, targets and labels of the ranker's training table."""
-    rows = X.ranker_features(training_questions(spark, folder)).withColumnRenamed("doc_id", "group_id")
+def labelled_rows(spark, folder, scores):
+    """Features, targets and labels of the ranker's training table; ``scores`` gives
+    the probabilities of the options of its questions."""
+    questions = storage.settle(training_questions(spark, folder))
+    articles = usable(spark, folder).select(F.col("row_id").alias("doc_id"), "article")
+    scored = ML.with_verifier_scores(questions, articles, scores)
+    rows = X.ranker_features(scored).drop("others").withColumnRenamed("doc_id", "group_id")
     return M.label_group(rows.withColumn("target", F.round("target", 9)))
 
 
+def ranker_rows(spark, folder):
+    """The training table with scores of verifiers that never saw the article."""
+
+    def build():
+        verifiers = ML.cross_fitted(usable(spark, folder))
+        return labelled_rows(spark, folder, verifiers.scores)
+
+    return storage.once(spark, "ranker_rows", folder, build)
+
+
 @query("ranker_training_rows")
 def ranker_training_rows(spark, folder):
     return rounded(ranker_rows(spark, folder), [*V.RANKER_FEATURES, "target"])
 
 
+# the same views over the human answer and the candidates of the question table, ten answers a row; the
+# limit is a window of its own, since DuckDB 2.0.0 shifts ranks when "rank < 10" is pushed into v_gold
+view("v_gold_top", f"select * from v_gold qualify row_number() over (partition by doc_id order by rank) <= {TRAINING_ANSWERS}")
+_QUESTION_VIEWS = ("v_tidy", "v_suffix", "v_cloze", "v_definition", "v_where", "v_questions")
+for _name in _QUESTION_VIEWS:
+    _sql = re.sub(rf"\b({'|'.join(_QUESTION_VIEWS)})\b", r"\1_gold", VIEWS[_name])
+    view(f"{_name}_gold", _sql.replace("v_cand", "v_gold_top").replace(" where rank < 8", ""))
+view("v_ranker_gold", ranker_sql("v_questions_gold"))
+view("v_target_gold", VIEWS["v_target"].replace("v_questions", "v_questions_gold"))
+view("v_labelled_gold", VIEWS["v_labelled"].replace("v_target", "v_target_gold"))
+view(
+    "v_given_scores",
+    f"""
+with o as (
+  select q.doc_id, q.candidate_index, o.pos, o.text from v_questions_gold q join v_mcq m on m.row_id = q.doc_id,
+  lateral (select unnest(range({5 + len(V.FIXED_FILLERS)})) as pos,
+    unnest([q.answer_text, m."A", m."B", m."C", m."D", {', '.join(lit(f) for f in V.FIXED_FILLERS)}]) as text) o
+  where o.text is not null),
+first as (select * from o qualify row_number() over (partition by doc_id, candidate_index, lower(text) order by pos) = 1),
+four as (select *, round(least(length(text) / 40.0::double, 1.0::double), 9) as p from first
+  qualify row_number() over (partition by doc_id, candidate_index order by pos) <= 4)
+select doc_id, candidate_index, own, other, own - other as margin, 1 + len(list_filter(ps, lambda x: x > own)) as place, list_max(ps) - list_min(ps) as spread
+from (select doc_id, candidate_index, max(p) filter (where pos = 0) as own, max(p) filter (where pos > 0) as other, list(p) as ps
+      from four group by 1, 2)
+""",
+)
+_GIVEN = dict(zip(V.RANKER_FEATURES[-5:], ("own", "other", "margin", "place", "spread"), strict=True))
+
+
+@query(
+    "ranker_training_rows_given",
+    f"""
+    select r.doc_id as group_id, r.candidate_index, r.template, {', '.join(f'r.{n}' for n in V.RANKER_FEATURES[:-5])},
+      {', '.join(f'round(g.{v}::double, 6) as {n}' for n, v in _GIVEN.items())},
+      round(l.target + 1e-10::double, 6) as target, l.label
+    from v_ranker_gold r join v_given_scores g on g.doc_id = r.doc_id and g.candidate_index = r.candidate_index
+    join v_labelled_gold l on l.doc_id = r.doc_id and l.candidate_index = r.candidate_index""",
+)
+def ranker_training_rows_given(spark, folder):
+    """The training table with a probability that SQL knows in place of trained
+    verifiers: the way from options to the five columns, targets and labels."""
+
+    def given(groups):
+        listed = lambda x: F.transform(x["options"], lambda o: OP.fixed_probability(o["text"]))
+        scores = F.transform("asked", lambda x: F.struct(x["item"].alias("item"), listed(x).alias("scores")))
+        return groups.select("group_id", F.inline(scores))
+
+    rows = rounded(labelled_rows(spark, folder, given), V.RANKER_FEATURES)
+    return rows.select("group_id", "candidate_index", "template", *V.RANKER_FEATURES, settled("target"), "label")
+
+
 @query(
     "build_options_for_candidate",
     """

@@ -157,8 +157,7 @@ def train_distractor_ranker(spark, folder):
 
 
 def _labelled_ranker_rows(spark, folder):
-    return storage.once(spark, "labelled_ranker_rows", folder, lambda: ranker_rows(spark, folder).select(
-        "group_id", "candidate_index", "template", "question", "target", "label"))
+    return ranker_rows(spark, folder).select("group_id", "candidate_index", "template", "question", "target", "label")
 
 
 def model_store(spark, folder):

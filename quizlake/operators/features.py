@@ -64,20 +64,27 @@ def _option_features(article: Column, question: Column, option: Column) -> Colum
     )
 
 
+def _article_parts(article: Column) -> Column:
+    clean = T.clean_text(article)
+    return F.struct(
+        clean.alias("clean"),
+        padded(clean).alias("pad"),
+        F.transform(T.sentences(article), lambda s: padded(T.clean_text(s))).alias("sentence_pads"),
+    )
+
+
+def _question_parts(question: Column) -> Column:
+    return T.let(
+        T.split_words(T.clean_text(question)),
+        lambda w: F.struct(w.alias("words"), T.bigrams(w).alias("pairs")),
+    )
+
+
 def text_features(items: DataFrame) -> DataFrame:
     """``items``: one row per question with ``row_id, article, question`` and
     ``options`` (array of ``label, text``).  Features are made inside the row
     and only numbers leave it."""
-    clean_article, clean_question = T.clean_text(F.col("article")), T.clean_text(F.col("question"))
-    article = F.struct(
-        clean_article.alias("clean"),
-        padded(clean_article).alias("pad"),
-        F.transform(T.sentences(F.col("article")), lambda s: padded(T.clean_text(s))).alias("sentence_pads"),
-    )
-    question = T.let(
-        T.split_words(clean_question),
-        lambda w: F.struct(w.alias("words"), T.bigrams(w).alias("pairs")),
-    )
+    article, question = _article_parts(F.col("article")), _question_parts(F.col("question"))
     made = T.let(
         article,
         lambda a: T.let(
@@ -165,6 +172,101 @@ def verifier_features(items: DataFrame, vocab: DataFrame) -> DataFrame:
     )
 
 
+def _terms(text: Column) -> Column:
+    return T.term_tokens(T.clean_text(text))
+
+
+def _lexicon(groups: DataFrame, vocab: DataFrame) -> DataFrame:
+    """``(group_id, squares, lexicon)``: the squared norm of an article and, for the
+    terms of its questions and options, a map from term to idf and weight in the
+    article (0 if absent).  Terms are counted once an article, however many
+    questions it has, and a map has at most the terms of the vocabulary."""
+    tagged = lambda terms, flag: F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(flag).alias("asked")))
+    texts = lambda x: F.concat(F.array(x["question"]), F.transform(x["options"], lambda o: o["text"]))
+    short = F.flatten(F.transform(F.flatten(F.transform("asked", texts)), _terms))
+    counted = (
+        groups.select("group_id", F.inline(F.concat(tagged(_terms(F.col("article")), 0), tagged(F.array_distinct(short), 1))))
+        .groupBy("group_id", "term")
+        .agg(F.count_if(F.col("asked") == 0).alias("tf"), F.max("asked").alias("asked"))
+    )
+    weight = F.when(F.col("tf") > 0, corpus.sublinear(F.col("tf"), F.col("idf"))).otherwise(F.lit(0.0))
+    known = corpus.join_terms(counted, vocab).withColumn("weight", weight)
+    entry = F.when(F.col("asked") == 1, F.struct("term", F.struct("idf", "weight")))
+    return known.groupBy("group_id").agg(
+        F.sum(F.col("weight") * F.col("weight")).alias("squares"),
+        F.map_from_entries(F.collect_list(entry)).alias("lexicon"),
+    )
+
+
+def asked_features(groups: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Features 0 to 9 of the options of many questions on one article, equal to
+    ``verifier_features`` of each question alone.
+
+    ``groups``: a row per article with ``group_id, article`` and ``asked``, an array
+    of ``item, question, options`` (an array of ``label, text``).  An article is
+    read in its own row and never repeated: numbers and the short terms of
+    question and option leave it, and meet the lexicon of the article."""
+    made = T.let(
+        _article_parts(F.col("article")),
+        lambda a: F.flatten(
+            F.transform(
+                "asked",
+                lambda x: T.let(
+                    F.struct(_question_parts(x["question"]).alias("parts"), _terms(x["question"]).alias("terms")),
+                    lambda q: F.transform(
+                        x["options"],
+                        lambda o: F.struct(
+                            x["item"].alias("item"),
+                            o["label"].alias("label"),
+                            o["text"].alias("text"),
+                            q["terms"].alias("question_terms"),
+                            _terms(o["text"]).alias("option_terms"),
+                            _option_features(a, q["parts"], o["text"]).alias("f"),
+                        ),
+                    ),
+                ),
+            )
+        ),
+    )
+    rows = groups.select("group_id", F.inline(made)).join(_lexicon(groups, vocab), "group_id", "left")
+    total = lambda found, value: F.aggregate(found, F.lit(0.0), lambda acc, e: acc + value(e))
+    in_vocabulary = lambda terms, tf: F.filter(
+        F.transform(
+            F.array_distinct(terms),
+            lambda t: F.struct(F.try_element_at("lexicon", t).alias("known"), tf(terms, t).alias("tf")),
+        ),
+        lambda e: e["known"].isNotNull(),
+    )
+    times = lambda terms, t: F.size(F.filter(terms, lambda u: u == t))
+    own = lambda e: corpus.sublinear(e["tf"], e["known"]["idf"])
+    cosine = T.let(
+        in_vocabulary(F.concat("question_terms", "option_terms"), times),
+        lambda found: T.let(
+            F.struct(
+                total(found, lambda e: own(e) * e["known"]["weight"]).alias("dot"),
+                (total(found, lambda e: own(e) * own(e)) * F.col("squares")).alias("squares"),
+            ),
+            lambda s: F.when(s["squares"] > 0, s["dot"] / F.sqrt(s["squares"])).otherwise(F.lit(0.0)),
+        ),
+    )
+    shared = total(
+        in_vocabulary(F.col("option_terms"), lambda *_: F.lit(1)),
+        lambda e: F.when(e["known"]["weight"] > 0, e["known"]["idf"]).otherwise(F.lit(0.0)),
+    )
+    return rows.select(
+        "group_id",
+        "item",
+        "label",
+        "text",
+        F.coalesce(cosine, F.lit(0.0)).alias("tfidf_cosine_sim"),
+        F.col("f.unigram_overlap_ratio").alias("unigram_overlap_ratio"),
+        F.when(F.col("f.n_shared") > 0, F.coalesce(shared, F.lit(0.0)) / F.col("f.n_shared"))
+        .otherwise(F.lit(0.0))
+        .alias("idf_weighted_score"),
+        *[F.col(f"f.{c}").alias(c) for c in BASE_COLUMNS[3:]],
+    )
+
+
 def option_items(questions: DataFrame) -> DataFrame:
     """The four options of each question as items."""
     parts = F.array(
@@ -199,6 +301,21 @@ def answer_position(sentence: Column, answer: Column) -> Column:
     return T.let(T.answer_at(sentence, answer), build)
 
 
+def score_columns(scores: Column) -> list[Column]:
+    """The five verifier values of a question from the scores of its options, the
+    answer's first: its score, the best other, the margin, its rank and the spread.
+    All are 0 where there are no scores."""
+
+    def build(s: Column) -> Column:
+        own, rest = F.get(s, F.lit(0)), F.slice(s, F.lit(2), F.greatest(F.size(s), F.lit(1)))
+        other = F.coalesce(F.array_max(rest), F.lit(0.0))
+        rank = F.size(F.filter(s, lambda p: p > own)) + 1
+        return F.array(own, other, own - other, rank.cast("double"), F.array_max(s) - F.array_min(s))
+
+    made = T.let(scores, lambda s: F.when(F.size(s) > 0, build(s)))
+    return [F.coalesce(F.get(made, F.lit(i)), F.lit(0.0)).alias(name) for i, name in enumerate(V.RANKER_FEATURES[-5:])]
+
+
 def ranker_features(rows: DataFrame) -> DataFrame:
     """The 39 ranker columns beside question rows that carry
     ``n_sentences, article_overlap`` and, if known, the five verifier values."""

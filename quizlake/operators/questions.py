@@ -191,7 +191,8 @@ def _templates(c: Column, referent: Column) -> Column:
 def question_rows(df: DataFrame, limit: int = 8, with_overlap: bool = False) -> DataFrame:
     """Questions of the first ``limit`` candidates of each row of
     ``(doc_id, article, sentences, candidates)``.
-    ``with_overlap`` adds what the ranker wants to know of the whole article.
+    ``with_overlap`` adds what the ranker wants to know of the whole article;
+    ``gold_question``, ``correct_answer`` and ``others`` are carried along.
 
     All are made inside the passage row, so their order is their place in one
     array and no shuffle is needed to number them or to drop repeats: answers
@@ -247,7 +248,7 @@ def question_rows(df: DataFrame, limit: int = 8, with_overlap: bool = False) ->
         made = T.let(F.col("sentences"), lambda ss: T.let(pad, lambda p: per_candidate(ss, p)))
     else:
         made = T.let(F.col("sentences"), lambda ss: per_candidate(ss, None))
-    carried = [c for c in ("gold_question", "correct_answer") if c in df.columns]
+    carried = [c for c in ("gold_question", "correct_answer", "others") if c in df.columns]
     return (
         df.withColumn("referent", article_referent(F.col("article")))
         .select("doc_id", *carried, F.posexplode(made).alias("candidate_index", "q"))

@@ -196,10 +196,11 @@ def titles(df: DataFrame) -> DataFrame:
     return named.groupBy("title").agg(F.max_by("article", "doc_id").alias("article"))
 
 
-def options_for_candidate(answer: Column) -> Column:
-    """The candidate answer, then human options, then fixed fillers: the first
-    four texts that differ when lower-cased."""
-    pool = F.array(answer, *[F.col(n) for n in V.LABELS], *[F.lit(f) for f in V.FIXED_FILLERS])
+def options_for_candidate(answer: Column, others: Column | None = None) -> Column:
+    """The candidate answer, then ``others`` (the human options if not given), then
+    fixed fillers: the first four texts that differ when lower-cased."""
+    human = F.array(*[F.col(n) for n in V.LABELS]) if others is None else others
+    pool = F.concat(F.array(answer), human, F.array(*[F.lit(f) for f in V.FIXED_FILLERS]))
     pool = F.filter(pool, lambda x: x.isNotNull())
     return F.slice(
         F.aggregate(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (
@@ -16,7 +17,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from quizlake.functions import text as T, values as V
 from quizlake.operators import corpus as K, features as X, metrics as M, reshape as R
@@ -172,6 +173,69 @@ class Verifier:
         return out.withColumn("p", soft_vote(F.col("p_lr"), F.col("p_svm"), F.col("p_rf")))
 
 
+    def scores(self, groups: DataFrame) -> DataFrame:
+        """``(group_id, item, scores)`` of ``asked_groups``: the probabilities of the
+        options in their order.  Clusters depend on the text of an option alone, so
+        they are found once a text and article."""
+        groups = settle(groups)
+        texts = F.array_distinct(F.flatten(F.transform("asked", lambda x: F.transform(x["options"], lambda o: o["text"]))))
+        terms = groups.select(F.col("group_id").alias("row_id"), F.explode(texts).alias("label")).withColumn(
+            "terms", T.term_tokens(T.clean_text(F.col("label"))))
+        kinds = cluster_features(self.clusters, terms).withColumnsRenamed({"row_id": "group_id", "label": "text"})
+        rows = X.asked_features(groups, self.vocab).join(kinds, ["group_id", "text"])
+        votes = self.votes(assemble(rows, V.VERIFIER_FEATURES))
+        listed = F.sort_array(F.collect_list(F.struct("label", F.round("p", 9).alias("p"))))
+        return votes.groupBy("group_id", "item").agg(F.transform(listed, lambda e: e["p"]).alias("scores"))
+
+
+@dataclass
+class CrossFitted:
+    """Verifiers that judge only articles they were not trained on: the one at
+    place ``i`` those of fold ``i``."""
+
+    parts: list[Verifier]
+
+    def scores(self, groups: DataFrame) -> DataFrame:
+        groups = settle(groups)
+        fold = article_fold(len(self.parts))
+        return reduce(DataFrame.unionByName, [v.scores(groups.where(fold == i)) for i, v in enumerate(self.parts)])
+
+
+def article_fold(k: int) -> Column:
+    return R.bucket(F.coalesce("article", F.lit(""))) % k
+
+
+def cross_fitted(questions: DataFrame, k: int = 2, trees: int = 300, depth: int = 15) -> CrossFitted:
+    """Everything of a verifier, its vocabulary and clusters too, is learned without
+    the articles of its fold."""
+    fold = article_fold(k)
+    fitted = together(*[lambda i=i: train_verifier(questions.where(fold != i), trees, depth)[0] for i in range(k)])
+    return CrossFitted(fitted)
+
+
+def asked_groups(rows: DataFrame, articles: DataFrame) -> DataFrame:
+    """Questions ``(doc_id, candidate_index, question, answer_text, others)`` beside
+    their article, as ``asked_features`` wants them.  The options of a question are
+    its answer, then ``others``, then the fixed fillers.  What is collected are
+    the questions of one article: those of its first answers."""
+    numbered_options = F.transform(
+        R.options_for_candidate(F.col("answer_text"), F.col("others")),
+        lambda t, i: F.struct(i.alias("label"), t.alias("text")),
+    )
+    one = F.struct(F.col("candidate_index").alias("item"), "question", numbered_options.alias("options"))
+    asked = rows.groupBy("doc_id").agg(F.collect_list(one).alias("asked"))
+    return articles.select("doc_id", "article").join(asked, "doc_id").withColumnRenamed("doc_id", "group_id")
+
+
+def with_verifier_scores(rows: DataFrame, articles: DataFrame, scores: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``rows`` (see ``asked_groups``) with the five verifier values of the ranker, 0
+    where ``scores`` gives none.  Training passes cross-fitted scores, use those of
+    the verifier that is kept."""
+    made = scores(asked_groups(rows, articles)).select(
+        F.col("group_id").alias("doc_id"), F.col("item").alias("candidate_index"), *X.score_columns(F.col("scores")))
+    return rows.join(made, ["doc_id", "candidate_index"], "left").na.fill(0.0, V.RANKER_FEATURES[-5:])
+
+
 def verifier_rows(questions: DataFrame) -> tuple[DataFrame, DataFrame, Clusters]:
     """All option rows with 12 features, label and split; the vocabulary and
     the clusters come from the training part only."""
