@@ -393,24 +393,24 @@ def label_group(spark, folder):
     return made.select("doc_id", "candidate_index", settled("target"), "label")
 
 
-def labelled_rows(spark, folder, scores):
-    """Features, targets and labels of the ranker's training table; ``scores`` gives
-    the probabilities of the options of its questions."""
-    questions = storage.settle(training_questions(spark, folder))
-    articles = usable(spark, folder).select(F.col("row_id").alias("doc_id"), "article")
-    scored = ML.with_verifier_scores(questions, articles, scores)
-    rows = X.ranker_features(scored).drop("others").withColumnRenamed("doc_id", "group_id")
+def labelled_rows(questions):
+    """Features, targets and labels of the ranker's training table."""
+    rows = X.ranker_features(questions).drop("others").withColumnRenamed("doc_id", "group_id")
     return M.label_group(rows.withColumn("target", F.round("target", 9)))
 
 
 def ranker_rows(spark, folder):
-    """The training table with scores of verifiers that never saw the article."""
+    """The table without verifier values: the quiz job ranks questions before they
+    have options, so its ranker is trained on what it will see."""
+    return labelled_rows(training_questions(spark, folder))
 
-    def build():
-        verifiers = ML.cross_fitted(usable(spark, folder))
-        return labelled_rows(spark, folder, verifiers.scores)
 
-    return storage.once(spark, "ranker_rows", folder, build)
+def scored_rows(spark, folder, scores):
+    """The table with verifier values; ``scores`` gives the probabilities of the
+    options of its questions."""
+    questions = storage.settle(training_questions(spark, folder))
+    articles = usable(spark, folder).select(F.col("row_id").alias("doc_id"), "article")
+    return labelled_rows(ML.with_verifier_scores(questions, articles, scores))
 
 
 @query("ranker_training_rows")
@@ -418,6 +418,13 @@ def ranker_training_rows(spark, folder):
     return rounded(ranker_rows(spark, folder), [*V.RANKER_FEATURES, "target"])
 
 
+@query("ranker_training_rows_scored")
+def ranker_training_rows_scored(spark, folder):
+    """The table with scores of verifiers that never saw the article."""
+    rows = scored_rows(spark, folder, ML.cross_fitted(usable(spark, folder)).scores)
+    return rounded(rows, [*V.RANKER_FEATURES, "target"])
+
+
 # the same views over the human answer and the candidates of the question table, ten answers a row; the
 # limit is a window of its own, since DuckDB 2.0.0 shifts ranks when "rank < 10" is pushed into v_gold
 view("v_gold_top", f"select * from v_gold qualify row_number() over (partition by doc_id order by rank) <= {TRAINING_ANSWERS}")
@@ -465,7 +472,7 @@ def ranker_training_rows_given(spark, folder):
         scores = F.transform("asked", lambda x: F.struct(x["item"].alias("item"), listed(x).alias("scores")))
         return groups.select("group_id", F.inline(scores))
 
-    rows = rounded(labelled_rows(spark, folder, given), V.RANKER_FEATURES)
+    rows = rounded(scored_rows(spark, folder, given), V.RANKER_FEATURES)
     return rows.select("group_id", "candidate_index", "template", *V.RANKER_FEATURES, settled("target"), "label")
 
 

@@ -229,8 +229,8 @@ def asked_groups(rows: DataFrame, articles: DataFrame) -> DataFrame:
 
 def with_verifier_scores(rows: DataFrame, articles: DataFrame, scores: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``rows`` (see ``asked_groups``) with the five verifier values of the ranker, 0
-    where ``scores`` gives none.  Training passes cross-fitted scores, use those of
-    the verifier that is kept."""
+    where ``scores`` gives none: cross-fitted ones in training, those of the kept
+    verifier in use."""
     made = scores(asked_groups(rows, articles)).select(
         F.col("group_id").alias("doc_id"), F.col("item").alias("candidate_index"), *X.score_columns(F.col("scores")))
     return rows.join(made, ["doc_id", "candidate_index"], "left").na.fill(0.0, V.RANKER_FEATURES[-5:])
