@@ -305,8 +305,11 @@ def hints(spark, folder):
     rows = C.with_candidates(S.passages(spark, folder))
     made = T.let(
         F.col("sentences"),
-        lambda ss: F.transform(
-            F.slice("candidates", 1, 8), lambda c: Q.hints(ss, c["text"], c["sent_idx"])
+        lambda ss: T.let(
+            Q.openings(ss),
+            lambda op: F.transform(
+                F.slice("candidates", 1, 8), lambda c: Q.hints(ss, c["text"], c["sent_idx"], op)
+            ),
         ),
     )
     return rows.select("doc_id", F.posexplode(made).alias("rank", "h")).select(
