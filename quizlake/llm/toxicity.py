@@ -31,6 +31,7 @@ from quizlake.llm.common import HASHES, bucket, fresh, sampled
 TRAIN_ROWS = 10_000
 MAX_WEIGHTS = 200_000
 IDLE = 0.01
+BLOCK = 2_048
 WORD = regex.compile(r"[\p{L}\p{N}\p{M}]+")
 NEXT, SKIP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -92,15 +93,19 @@ def fit(rows: list[np.ndarray], labels: list[int], epochs: int = 5) -> tuple[np.
     for f in rows:
         at = np.unique(f & low)
         seen[at] = np.minimum(seen[at], 2) + 1
-    # one array for all texts: its memory goes back to the system when it is freed
-    flat, ends = np.concatenate(rows), np.cumsum([len(f) for f in rows])
+    common = lambda f: f[seen[f & low] > 2]
+    keys, ends = np.zeros(0, np.uint64), [0]
+    for start in range(0, len(rows), BLOCK):
+        block = [common(f) for f in rows[start : start + BLOCK]]
+        ends += (ends[-1] + np.cumsum([len(f) for f in block])).tolist()
+        keys = np.union1d(keys, np.concatenate(block))
+    # places in one array for all texts: its memory goes back to the system when it is freed
+    flat = np.empty(ends[-1], np.int32)
+    for f, start, end in zip(rows, ends, ends[1:], strict=False):
+        flat[start:end] = np.searchsorted(keys, common(f))
     rows.clear()
-    kept = seen[flat & low] > 2
-    ends = np.concatenate([[0], np.cumsum(kept)])[ends]
-    flat = flat[kept]
-    keys = np.unique(flat)
-    flat = np.searchsorted(keys, flat)
-    rows = np.split(flat, ends[:-1])
+    del seen
+    rows = [flat[start:end] for start, end in zip(ends, ends[1:], strict=False)]
     model = Ftrl(len(keys))
     for _ in range(epochs):
         for at, label in zip(rows, labels, strict=True):
@@ -135,7 +140,7 @@ def train(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
                       for h, k, f, y in zip(*columns, strict=True)]
         found.sort(key=lambda r: r[:2])
         texts, labels = [r[2] for r in found], [r[3] for r in found]
-        del found
+        found = columns = batch = None  # ``fit`` frees the texts' hashes before the passes
         keys, weights, bias = fit(texts, labels)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(keys.view(np.int64), 0)), pa.array(np.append(weights, bias))], names=["f", "w"])
